@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.accounts import LANGUAGES
 from ..functions.values import parse_list
+from ..session import spread
 from ..sources.posts import normalize_posts
 
 TABLES = ["documents", "orders", "customer", "nation", "benchmark"]
@@ -128,6 +129,8 @@ def for_oracle(statement: str) -> str:
 def _run(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:
     used = [t for t in TABLES if f"{{{t}}}" in statement]
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
+    if "documents" in tables:
+        tables["documents"] = spread(tables["documents"], "doc_id")
     return spark.sql(statement, **tables)
 
 

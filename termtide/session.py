@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folder = None
 
@@ -46,3 +46,17 @@ def settings(input_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[
         "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
         "spark.sql.files.maxPartitionBytes": str(task_bytes),
     }
+
+
+def spread(rows: DataFrame, key: str, tasks_per_core: int = 2) -> DataFrame:
+    """Deal a small scan out over all cores, by hash of ``key``.
+
+    A file comes in as many tasks as it has row groups, so a small table of few files can
+    leave most cores without work. A scan of at least one full split per core is returned
+    as it is: there the extra shuffle would cost more than it gives.
+    """
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    scanned = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows if scanned >= cores * split else rows.repartition(tasks_per_core * cores, key)
