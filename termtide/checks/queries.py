@@ -251,7 +251,8 @@ def _register_views(term: str) -> None:
         return leaders.top_users(by_user(spark, sf_dir), term)
 
     def info(spark, sf_dir):
-        return leaders.with_profiles(top(spark, sf_dir), adapters.users(spark, sf_dir), term)
+        profiles = leaders.profiles_of(adapters.users(spark, sf_dir))
+        return leaders.with_profiles(top(spark, sf_dir), profiles, term)
 
     def packed(spark, sf_dir):
         return leaders.pack(leaders.collect_leaders(info(spark, sf_dir), term), term)
@@ -259,13 +260,13 @@ def _register_views(term: str) -> None:
     def published_months(spark, sf_dir):
         store = ViewStore(new_folder(spark, "views"))
         build.publish_month_view(store, rows_of(spark, sf_dir, term), term)
-        return store.read(spark, build.BY_MONTH[term]).drop("bucket")
+        return build.read_month_view(spark, store, term)
 
     def published_leaders(spark, sf_dir):
         store = ViewStore(new_folder(spark, "views"))
-        rows, users = rows_of(spark, sf_dir, term), adapters.users(spark, sf_dir)
-        build.publish_top_users(store, rows, users, term)
-        return store.read(spark, build.TOP_USERS[term]).drop("bucket")
+        profiles = leaders.profiles_of(adapters.users(spark, sf_dir))
+        build.publish_top_users(store, rows_of(spark, sf_dir, term), profiles, term)
+        return build.read_top_users(spark, store, term)
 
     QUERIES.update({
         f"{term}s_by_month": by_month,
@@ -435,8 +436,8 @@ def _text_posts(spark, sf_dir):
 def _stream(spark, messages) -> CounterLog:
     """Run messages through the stream in about four micro-batches."""
     path = new_folder(spark, "messages")
-    parallel = max(8, spark.sparkContext.defaultParallelism)
-    msg.write_message_files(messages.repartition(parallel), path)
+    files = 4 * spark.sparkContext.defaultParallelism
+    msg.write_message_files(messages.repartition(files), path)
     files = len(spark.read.text(path).inputFiles())
     log = CounterLog(new_folder(spark, "counters"))
     source = msg.file_messages(spark, path, -(-files // 4))

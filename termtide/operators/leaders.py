@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.values import SEPARATOR
 from ..schemas import TOTALS
+from ..session import join_hint
 
 NUMBERS = ["total_engagement_count", *TOTALS]
 PROFILE = [
@@ -26,13 +27,14 @@ def top_users(usage: DataFrame, term: str, k: int = 5) -> DataFrame:
     return usage.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def with_profiles(top: DataFrame, users: DataFrame, term: str) -> DataFrame:
-    """Add profiles. Ranks of accounts without a profile drop out and are not refilled.
-
-    No hint: the accounts are broadcast when Spark measures them under its threshold,
-    else the join shuffles and AQE splits accounts that lead very many terms.
-    """
+def profiles_of(users: DataFrame) -> DataFrame:
+    """The profile columns, with the join strategy their measured size calls for."""
     profiles = users.select("user_id", *PROFILE)
+    return profiles.hint(join_hint(profiles))
+
+
+def with_profiles(top: DataFrame, profiles: DataFrame, term: str) -> DataFrame:
+    """Add profiles. Ranks of accounts without a profile drop out and are not refilled."""
     return top.join(profiles, top["userid"].eqNullSafe(profiles["user_id"])).select(
         term, "rank", *PROFILE, "count", *NUMBERS
     )
@@ -48,8 +50,8 @@ def pack(leaders: DataFrame, term: str) -> DataFrame:
     """The array as nine parallel text lists. A missing value takes an empty place, so
     position i is the same user in every list."""
     def joined(field: str):
-        values = F.transform("users", lambda u: F.coalesce(u[field].cast("string"), F.lit("")))
-        return F.array_join(values, SEPARATOR).alias(PACKED[field])
+        values = F.col(f"users.{field}").cast("array<string>")
+        return F.array_join(values, SEPARATOR, "").alias(PACKED[field])
 
     return leaders.select(term, *[joined(c) for c in PACKED])
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import SIZES, STOP_WORDS
-from ..operators.leaders import collect_leaders, pack, top_users, with_profiles
+from ..operators.leaders import collect_leaders, pack, profiles_of, top_users, with_profiles
 from ..operators.terms import explode_hashtags, explode_ngrams, posts_in_language, with_words
 from ..operators.usage import usage_by_month, usage_by_user
 from ..session import new_folder
@@ -17,21 +17,33 @@ BY_MONTH = {"ngram": "ngrams_by_month", "hashtag": "hashtags_by_month"}
 TOP_USERS = {"ngram": "ngrams_top_users", "hashtag": "hashtags_top_users"}
 
 
-def leaders_of(rows: DataFrame, users: DataFrame, term: str, k: int = 5) -> DataFrame:
+def leaders_of(rows: DataFrame, profiles: DataFrame, term: str, k: int = 5) -> DataFrame:
     """Top users of every term, one row per (term, user), with profiles."""
-    return with_profiles(top_users(usage_by_user(rows, term), term, k), users, term)
+    return with_profiles(top_users(usage_by_user(rows, term), term, k), profiles, term)
 
 
-def packed_leaders(rows: DataFrame, users: DataFrame, term: str, k: int = 5) -> DataFrame:
-    return pack(collect_leaders(leaders_of(rows, users, term, k), term), term)
+def packed_leaders(rows: DataFrame, profiles: DataFrame, term: str, k: int = 5) -> DataFrame:
+    return pack(collect_leaders(leaders_of(rows, profiles, term, k), term), term)
 
 
 def publish_month_view(store: ViewStore, rows: DataFrame, term: str) -> None:
-    store.publish(keyed_by_month(usage_by_month(rows, term), term), BY_MONTH[term], term)
+    store.publish(usage_by_month(rows, term), BY_MONTH[term], term)
 
 
-def publish_top_users(store: ViewStore, rows: DataFrame, users: DataFrame, term: str, k: int = 5):
-    store.publish(packed_leaders(rows, users, term, k), TOP_USERS[term], term)
+def read_month_view(spark: SparkSession, store: ViewStore, term: str) -> DataFrame:
+    """The month view with its serving key. The key is made on reading: stored, it would
+    hold every term a second time."""
+    return keyed_by_month(store.read(spark, BY_MONTH[term]).drop("bucket"), term)
+
+
+def publish_top_users(
+    store: ViewStore, rows: DataFrame, profiles: DataFrame, term: str, k: int = 5
+) -> None:
+    store.publish(packed_leaders(rows, profiles, term, k), TOP_USERS[term], term)
+
+
+def read_top_users(spark: SparkSession, store: ViewStore, term: str) -> DataFrame:
+    return store.read(spark, TOP_USERS[term]).drop("bucket")
 
 
 def build_views(
@@ -53,6 +65,7 @@ def build_views(
         "ngram": explode_ngrams(words.drop("hashtags"), sizes),
         "hashtag": explode_hashtags(words.drop("words")),
     }
+    profiles = profiles_of(users)
     for term in rows:
         publish_month_view(store, rows[term], term)
-        publish_top_users(store, rows[term], users, term, k)
+        publish_top_users(store, rows[term], profiles, term, k)

@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_folder = None
 
@@ -42,6 +43,8 @@ def settings(input_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Users of a term are collected from rows that are sorted by term already.
+        "spark.sql.execution.replaceHashWithSortAgg": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
         "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
         "spark.sql.files.maxPartitionBytes": str(task_bytes),
@@ -60,3 +63,17 @@ def spread(rows: DataFrame, key: str, tasks_per_core: int = 2) -> DataFrame:
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     scanned = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return rows if scanned >= cores * split else rows.repartition(tasks_per_core * cores, key)
+
+
+def join_hint(rows: DataFrame, limit: int = 64 << 20) -> str:
+    """``broadcast`` if the values of a table, measured, take at most ``limit`` bytes, else
+    ``merge``, a sort-merge join in which AQE splits hot keys.
+
+    With either hint the other side is never broadcast. Left to its estimates Spark might:
+    it does not see that an exploded text is many times the size of its files.
+    """
+    width = F.lit(0)
+    for column in rows.columns:
+        width = width + F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0)) + 16
+    taken = rows.agg(F.sum(width)).first()[0] or 0
+    return "broadcast" if taken <= limit else "merge"
