@@ -3,13 +3,12 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.text import SIZES, STOP_WORDS
 from ..operators.leaders import collect_leaders, pack, profiles_of, top_users, with_profiles
 from ..operators.terms import explode_hashtags, explode_ngrams, posts_in_language, with_words
 from ..operators.usage import usage_by_month, usage_by_user
-from ..session import new_folder
+from ..session import new_folder, spread
 from ..sources.tables import ViewStore, keyed_by_month, write_table
 
 # View names by kind of term.
@@ -58,7 +57,7 @@ def build_views(
     repeats only its own files.
     """
     words = write_table(
-        with_words(posts_in_language(posts, lang, week_year), stop_words),
+        with_words(posts_in_language(spread(posts, "tweetid"), lang, week_year), stop_words),
         new_folder(spark, "words"),
     )
     rows = {

@@ -1,0 +1,99 @@
+from pyspark.sql import functions as F
+
+from termtide.checks import adapters
+from termtide.operators import leaders, merge, terms, usage
+from termtide.schemas import TOTALS
+
+
+def users_of(spark, *given):
+    plain = ("name", "handle", "place", "bio")
+    rows = [(i, *(g or plain)) for i, g in given]
+    return spark.createDataFrame(
+        rows, "user_id string, user_display_name string, user_screen_name string, "
+        "user_reported_location string, user_profile_description string"
+    )
+
+
+def test_month_counts(post):
+    posts = post({}, {"tweet_text": "Red fox!", "quote_count": None}, {"tweet_language": "fr"},
+                 {"tweet_text": None}, {"tweet_time": None})
+    got = {r["ngram"]: tuple(r)[2:] for r in usage.usage_by_month(terms.ngram_rows(posts), "ngram").collect()}
+    assert got == {"red fox": (2, 1, 4, 6, 8), "fox runs": (1, 1, 2, 3, 4), "red fox runs": (1, 1, 2, 3, 4)}
+
+
+def test_hashtags_fold_case_and_drop_blanks(post):
+    posts = post({"hashtags": ["News", "", "news"]}, {"hashtags": None})
+    got = usage.usage_by_month(terms.hashtag_rows(posts), "hashtag").collect()
+    assert [(r["tweet_month"], r["hashtag"], r["count"]) for r in got] == [("03-2017", "news", 2)]
+
+
+def test_missing_count_leaves_the_post_out_of_engagement(post):
+    posts = post({"hashtags": ["a"], "quote_count": None}, {"hashtags": ["a"]})
+    rows = terms.hashtag_rows(posts)
+    assert usage.usage_by_user(rows, "hashtag").first()["total_engagement_count"] == 10
+    zero = usage.usage_by_user(rows, "hashtag", null_as_zero=True).first()
+    assert zero["total_engagement_count"] == 19
+
+
+def ranked(post, spark, k=5):
+    given = [{"userid": f"u{i}", "hashtags": ["a"], "like_count": 10 * (i // 2)} for i in range(8)]
+    rows = terms.hashtag_rows(post(*given))
+    return leaders.top_users(usage.usage_by_user(rows, "hashtag"), "hashtag", k)
+
+
+def test_ties_go_to_the_lower_id(post, spark):
+    got = ranked(post, spark).orderBy("rank").collect()
+    assert [r["userid"] for r in got] == ["u6", "u7", "u4", "u5", "u2"]
+
+
+def test_users_without_profile_are_not_refilled(post, spark):
+    users = users_of(spark, ("u6", None), ("u5", None), ("u0", None))
+    info = leaders.with_profiles(ranked(post, spark), leaders.profiles_of(users), "hashtag")
+    assert [r["rank"] for r in info.orderBy("rank").collect()] == [1, 4]
+
+
+def test_both_join_strategies_agree(post, spark):
+    users = users_of(spark, *[(f"u{i}", None) for i in range(8)])
+    profiles = users.select("user_id", *leaders.PROFILE)
+    small = leaders.with_profiles(ranked(post, spark), profiles.hint("broadcast"), "hashtag")
+    large = leaders.with_profiles(ranked(post, spark), profiles.hint("merge"), "hashtag")
+    assert sorted(small.collect()) == sorted(large.collect())
+
+
+def test_packed_lists_stay_aligned(post, spark):
+    users = users_of(spark, ("u6", ("A", "a", None, "x")), ("u7", ("B", "b", "Rome", None)))
+    info = leaders.with_profiles(ranked(post, spark), leaders.profiles_of(users), "hashtag")
+    packed = leaders.pack(leaders.collect_leaders(info, "hashtag"), "hashtag")
+    row = packed.first()
+    assert row["user_reported_locations"] == "\t,\tRome"
+    assert row["user_profile_descriptions"] == "x\t,\t"
+    back = leaders.unpack(packed, "hashtag").orderBy("rank").collect()
+    assert [(r["user_display_name"], r["user_reported_location"], r["rank"]) for r in back] == [
+        ("A", "", 1), ("B", "Rome", 2)
+    ]
+    assert back[0]["total_engagement_count"] == 37
+
+
+def test_sums_over_months_and_users_agree(spark, small):
+    rows = terms.ngram_rows(adapters.posts(spark, small))
+    month = usage.usage_by_month(rows, "ngram").groupBy("ngram").agg(F.sum("count").alias("n"))
+    user = usage.usage_by_user(rows, "ngram").groupBy("ngram").agg(F.sum("count").alias("n"))
+    assert month.exceptAll(user).isEmpty() and user.exceptAll(month).isEmpty()
+
+
+def test_number_of_ngrams(spark, small):
+    worded = terms.with_words(terms.posts_in_language(adapters.posts(spark, small)))
+    expected = sum(
+        worded.agg(F.sum(F.greatest(F.size("words") - (n - 1), F.lit(0)))).first()[0] for n in (2, 3, 4, 5)
+    )
+    assert terms.explode_ngrams(worded).count() == expected
+
+
+def test_merge(spark):
+    schema = "hashtag string, tweet_month string, count bigint, " + ", ".join(f"{c} bigint" for c in TOTALS)
+    batch = spark.createDataFrame([("a", "01-2017", 1, None, 1, 1, 1), ("a", "02-2017", 1, 1, 1, 1, 1)], schema)
+    speed = spark.createDataFrame([("a", "01-2017", 2, 2, 2, 2, 2), ("b", "01-2017", 5, 5, 5, 5, 5)], schema)
+    left = sorted(map(tuple, merge.merge_views(batch, speed, "hashtag").collect()))
+    assert left == [("a", "01-2017", 3, 2, 3, 3, 3), ("a", "02-2017", 1, 1, 1, 1, 1)]
+    full = sorted(map(tuple, merge.merge_views(batch, speed, "hashtag", "full").collect()))
+    assert full == left + [("b", "01-2017", 5, 5, 5, 5, 5)]
