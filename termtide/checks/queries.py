@@ -191,17 +191,13 @@ def month_bucket_weekyear(spark, sf_dir):
 
 
 def _register_text() -> None:
-    def tokens(text):
-        return tx.tokenize(tx.clean_text(text))
-
     shown = {
         "clean_text": ("text", tx.clean_text),
         "clean_text_url": ("text", lambda t: tx.clean_text(t, tx.URL)),
         "clean_text_retweet": ("text", lambda t: tx.clean_text(t, tx.RETWEET)),
         "clean_text_handle": ("text", lambda t: tx.clean_text(t, tx.HANDLE)),
         "clean_text_hashtag": ("text", lambda t: tx.clean_text(t, tx.HASHTAG)),
-        "tokenize": ("tokens", lambda t: F.array_join(tokens(t), " ")),
-        "remove_stopwords": ("tokens", lambda t: F.array_join(tx.remove_stop_words(tokens(t)), " ")),
+        "tokenize": ("tokens", lambda t: F.array_join(tx.tokenize(tx.clean_text(t)), " ")),
     }
 
     def of(name, column):
@@ -237,6 +233,12 @@ def _register_sizes() -> None:
 _register_sizes()
 
 
+@query
+def remove_stopwords(spark, sf_dir):
+    worded = terms.with_words(adapters.posts(spark, sf_dir).select("tweetid", "tweet_text"))
+    return worded.select("tweetid", F.array_join("words", " ").alias("tokens"))
+
+
 # Views, for both kinds of term.
 
 
@@ -336,7 +338,7 @@ def redact_hashed_users(spark, sf_dir):
 def phrases(spark, sf_dir):
     """Every two-word phrase of the benchmark items and the hashtag of every source."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    worded = items.select(tx.content_words(F.col("text")).alias("words"))
+    worded = terms.with_words(items.select("text"), text="text")
     two = terms.explode_ngrams(worded, [2]).select(F.col("ngram").alias("phrase"))
     sources = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         F.concat(F.lit("#"), F.upper("source")).alias("phrase")
@@ -363,21 +365,22 @@ def lookup_routed(spark, sf_dir):
     return lookup.route(phrases(spark, sf_dir))
 
 
-def _built_store(spark, sf_dir) -> ViewStore:
+def _built_store(spark, sf_dir, users=None) -> ViewStore:
     store = ViewStore(new_folder(spark, "views"))
-    posts, users = adapters.posts(spark, sf_dir), adapters.users(spark, sf_dir)
-    build.build_views(spark, posts, users, store)
+    build.build_views(spark, adapters.posts(spark, sf_dir), users, store)
     return store
 
 
 @query
 def lookup_by_month(spark, sf_dir):
-    return serve.lookup(spark, _built_store(spark, sf_dir), "#src1")[0]
+    store = _built_store(spark, sf_dir)
+    return serve.lookup_series(spark, store, lookup.one_term(spark, "#src1"))
 
 
 @query
 def lookup_top_users(spark, sf_dir):
-    return serve.lookup(spark, _built_store(spark, sf_dir), "#src1")[1]
+    store = _built_store(spark, sf_dir, adapters.users(spark, sf_dir))
+    return serve.lookup(spark, store, "#src1")[1]
 
 
 @query
@@ -387,7 +390,8 @@ def lookup_many(spark, sf_dir):
 
 @query
 def lookup_many_users(spark, sf_dir):
-    return serve.lookup_users(spark, _built_store(spark, sf_dir), phrases(spark, sf_dir))
+    store = _built_store(spark, sf_dir, adapters.users(spark, sf_dir))
+    return serve.lookup_users(spark, store, phrases(spark, sf_dir))
 
 
 @query

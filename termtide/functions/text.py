@@ -34,27 +34,37 @@ def clean_text(text: Column, pattern: str = NOISE) -> Column:
     return F.regexp_replace(F.lower(text), pattern, "")
 
 
+def split_words(text: Column) -> Column:
+    """Split at every character that is not an ASCII word character, accented letters
+    included; neighbouring ones leave empty tokens."""
+    return F.split(text, r"\W")
+
+
 def tokenize(text: Column) -> Column:
-    """Runs of ASCII word characters; any other character, accents included, separates."""
-    return F.filter(F.split(text, r"\W"), lambda word: word != "")
+    return F.filter(split_words(text), lambda word: word != "")
 
 
-def remove_stop_words(tokens: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    return F.filter(tokens, lambda word: ~word.isin(list(stop_words)))
+def remove_stop_words(tokens: str, stop_words: Sequence[str] = STOP_WORDS) -> Column:
+    """The array column of that name without the stop words and without empty tokens.
+
+    As SQL text, so that the list is one literal set for the JVM, not a call per word.
+    """
+    unwanted = ", ".join(_literal(word) for word in ["", *stop_words])
+    return F.expr(f"filter(`{tokens}`, word -> word not in ({unwanted}))")
 
 
-def content_words(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """Clean, tokenise and drop stop words with one pass over the token array."""
-    unwanted = ["", *stop_words]
-    return F.filter(F.split(clean_text(text), r"\W"), lambda word: ~word.isin(unwanted))
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def longer_ngrams(ngrams: Column, tokens: Column, n: int) -> Column:
-    """All n-grams, given all (n-1)-grams of the same tokens.
+def longer_ngrams(ngrams: str, tokens: str, n: int) -> Column:
+    """All n-grams, given the columns of all (n-1)-grams and of the tokens.
 
-    Each gram is one concatenation of two known strings, where slicing the tokens
-    at every position would copy n of them.
+    Each gram is one concatenation of two known strings, where slicing the tokens at
+    every position would copy n of them.
     """
-    heads = F.slice(ngrams, 1, F.greatest(F.size(ngrams) - 1, F.lit(0)))
-    tails = F.slice(tokens, n, F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-    return F.zip_with(heads, tails, lambda head, tail: F.concat(head, F.lit(" "), tail))
+    return F.expr(
+        f"""zip_with(slice({ngrams}, 1, greatest(size({ngrams}) - 1, 0)),
+                     slice({tokens}, {n}, greatest(size({tokens}) - {n - 1}, 0)),
+                     (head, tail) -> concat(head, ' ', tail))"""
+    )

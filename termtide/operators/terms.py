@@ -5,7 +5,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import SIZES, STOP_WORDS, content_words, longer_ngrams
+from ..functions.text import (
+    SIZES,
+    STOP_WORDS,
+    clean_text,
+    longer_ngrams,
+    remove_stop_words,
+    split_words,
+)
 from ..functions.values import month_bucket
 from ..schemas import COUNTS
 
@@ -22,10 +29,14 @@ def posts_in_language(posts: DataFrame, lang: str = "en", week_year: bool = Fals
     )
 
 
-def with_words(posts: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """Replace the text by its cleaned words."""
-    return posts.withColumn("words", content_words(F.col("tweet_text"), stop_words)).drop(
-        "tweet_text"
+def with_words(
+    posts: DataFrame, stop_words: Sequence[str] = STOP_WORDS, text: str = "tweet_text"
+) -> DataFrame:
+    """Replace the text by its words: cleaned, without empty tokens and stop words."""
+    return (
+        posts.withColumn("words", split_words(clean_text(F.col(text))))
+        .withColumn("words", remove_stop_words("words", stop_words))
+        .drop(text)
     )
 
 
@@ -40,7 +51,7 @@ def explode_ngrams(posts: DataFrame, sizes: Sequence[int] = SIZES) -> DataFrame:
     rows = posts
     for n in range(2, max(sizes) + 1):
         grams[n] = f"words_{n}"
-        rows = rows.withColumn(grams[n], longer_ngrams(F.col(grams[n - 1]), F.col("words"), n))
+        rows = rows.withColumn(grams[n], longer_ngrams(grams[n - 1], "words", n))
     carried = [c for c in posts.columns if c != "words"]
     return rows.select(*carried, F.explode(F.concat(*[grams[n] for n in sizes])).alias("ngram"))
 

@@ -8,7 +8,7 @@ from ..functions.text import SIZES, STOP_WORDS
 from ..operators.leaders import collect_leaders, pack, profiles_of, top_users, with_profiles
 from ..operators.terms import explode_hashtags, explode_ngrams, posts_in_language, with_words
 from ..operators.usage import usage_by_month, usage_by_user
-from ..session import new_folder, spread
+from ..session import drop_folder, new_folder, spread
 from ..sources.tables import ViewStore, keyed_by_month, write_table
 
 # View names by kind of term.
@@ -46,25 +46,27 @@ def read_top_users(spark: SparkSession, store: ViewStore, term: str) -> DataFram
 
 
 def build_views(
-    spark: SparkSession, posts: DataFrame, users: DataFrame, store: ViewStore, lang: str = "en",
-    sizes: Sequence[int] = SIZES, k: int = 5, stop_words: Sequence[str] = STOP_WORDS,
-    week_year: bool = False,
+    spark: SparkSession, posts: DataFrame, users: DataFrame | None, store: ViewStore,
+    lang: str = "en", sizes: Sequence[int] = SIZES, k: int = 5,
+    stop_words: Sequence[str] = STOP_WORDS, week_year: bool = False,
 ) -> None:
-    """Overwrite all four views.
+    """Overwrite all four views, or without ``users`` the two month views.
 
     The cleaned words are written once, in the shared folder, and read by both n-gram
     jobs: cleaning costs more than reading the words back, and a lost executor then
     repeats only its own files.
     """
-    words = write_table(
-        with_words(posts_in_language(spread(posts, "tweetid"), lang, week_year), stop_words),
-        new_folder(spark, "words"),
-    )
+    folder = new_folder(spark, "words")
+    kept = posts_in_language(spread(posts, "tweetid"), lang, week_year)
+    words = write_table(with_words(kept, stop_words), folder)
     rows = {
         "ngram": explode_ngrams(words.drop("hashtags"), sizes),
         "hashtag": explode_hashtags(words.drop("words")),
     }
-    profiles = profiles_of(users)
     for term in rows:
         publish_month_view(store, rows[term], term)
-        publish_top_users(store, rows[term], profiles, term, k)
+    if users is not None:
+        profiles = profiles_of(users)
+        for term in rows:
+            publish_top_users(store, rows[term], profiles, term, k)
+    drop_folder(spark, folder)

@@ -30,6 +30,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that `new_folder` made room for."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def settings(input_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[str, str]:
     """Session settings for an input of that many bytes on that many cores.
 

@@ -5,8 +5,8 @@ from termtide.functions import text as tx
 from termtide.operators.terms import explode_ngrams, with_words
 
 
-def words(rows, text):
-    return rows([text], tx.content_words(F.col("v")))[0][0]
+def words(spark, text, **params):
+    return with_words(spark.createDataFrame([(text,)], "tweet_text string"), **params).first()[0]
 
 
 def test_stop_words_are_the_default_list(spark):
@@ -24,16 +24,20 @@ def test_single_patterns(rows):
     assert list(got[0]) == ["rt @x: a  @d #e", "a http://b.c @d #e", "rt  a http://b.c  #e", "rt @x: a http://b.c @d "]
 
 
-def test_apostrophes_split_before_stop_words(rows):
-    assert words(rows, "Don't stop me") == ["stop"]
+def test_apostrophes_split_before_stop_words(spark):
+    assert words(spark, "Don't stop me") == ["stop"]
 
 
-def test_underscore_joins_and_accents_split(rows):
-    assert words(rows, "snake_case café été1") == ["snake_case", "caf", "1"]
+def test_underscore_joins_and_accents_split(spark):
+    assert words(spark, "snake_case café été1") == ["snake_case", "caf", "1"]
 
 
-def test_null_text(rows):
-    assert words(rows, None) is None
+def test_null_text(spark):
+    assert words(spark, None) is None
+
+
+def test_own_stop_words_with_quotes_and_backslashes(spark):
+    assert words(spark, "a fox it's", stop_words=["it's", "\\w", "fox"]) == ["a", "it", "s"]
 
 
 def ngrams(spark, text, sizes):
