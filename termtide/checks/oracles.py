@@ -163,7 +163,7 @@ def packed(term: str) -> Steps:
     return step("packed", f"select {term}, {lists} from info group by {term}")
 
 
-def display_user(hide: bool = True) -> str:
+def display_user() -> str:
     hashed = "length(user_display_name) = 64 and length(user_screen_name) = 64"
     return (
         f"case when {hashed} then '<Redacted>' else user_display_name end as display_name, "
