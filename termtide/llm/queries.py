@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import line_dedup, mixing, url_filter
+from termtide.llm import line_dedup, mixing, quality, url_filter
 from termtide.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -18,6 +18,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge_quality(table(spark, sf_dir, "documents"))
+    return judged.select(
+        F.col("doc").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "d2",
+    )
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -31,6 +39,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op8_url_filter": op8_url_filter,
     "op10_mixing": op10_mixing,
 }

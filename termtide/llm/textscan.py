@@ -98,7 +98,9 @@ def words_of(texts: Texts) -> Words:
     return Words(_hashed(data, first, end), row, first, end)
 
 
-def _hashed(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _hashed(
+    data: np.ndarray, first: np.ndarray, end: np.ndarray, fold: np.ndarray = LOWER
+) -> np.ndarray:
     """Windows of words that span about WINDOW bytes, so that memory doesn't follow the text."""
     out, a = np.zeros(len(first), np.uint64), 0
     while a < len(first):
@@ -107,13 +109,35 @@ def _hashed(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         stop = end[b - 1]
         up, down = powers(int(stop - base))
         total = np.zeros(stop - base + 1, np.uint64)
-        np.cumsum(VALUE[LOWER[data[base:stop]]] * up[: stop - base], out=total[1:])
+        np.cumsum(VALUE[fold[data[base:stop]]] * up[: stop - base], out=total[1:])
         f, e = first[a:b] - base, end[a:b] - base
         out[a:b] = mixed((total[e] - total[f]) * down[f] + (e - f).astype(np.uint64))
         a = b
     return out
 
 
+def lines_of(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text, start and end of every line; an empty text has one empty line."""
+    breaks = np.flatnonzero(texts.data == 0x0A)
+    first = np.sort(np.concatenate((texts.offset[:-1], breaks + 1)), kind="stable")
+    row = np.arange(len(texts)).repeat(
+        1 + np.diff(np.searchsorted(breaks, texts.offset))
+    )
+    end = np.append(first[1:], texts.offset[-1])
+    same = np.append(row[1:] == row[:-1], False)
+    end = np.where(same, end - 1, texts.offset[1:][row])
+    value = np.zeros(len(first), np.uint64)
+    full = end > first
+    value[full] = _hashed(texts.data, first[full], end[full], np.arange(256, dtype=np.uint8))
+    return value, row, first, end
+
+
+def counts_in(mask: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How many bytes of each span the mask holds."""
+    total = np.concatenate(([0], np.cumsum(mask)))
+    return total[end] - total[first]
+
+
 def runs_of(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every run of ``k`` consecutive words within one text."""
     n = len(hashes) - k + 1
