@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import line_dedup, mixing, quality, url_filter
+from termtide.llm import line_dedup, mixing, near_dup, quality, url_filter
 from termtide.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -26,6 +26,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+    return found.select(
+        F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept"
+    )
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -40,6 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op8_url_filter": op8_url_filter,
     "op10_mixing": op10_mixing,
 }
