@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import line_dedup, mixing, near_dup, quality, url_filter
+from termtide.llm import katz, line_dedup, mixing, near_dup, quality, url_filter
 from termtide.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -33,6 +33,10 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_katz_scores": op7_katz_scores,
     "op8_url_filter": op8_url_filter,
     "op10_mixing": op10_mixing,
 }
