@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import katz, line_dedup, mixing, near_dup, quality, url_filter
+from termtide.llm import hnsw, katz, line_dedup, mixing, near_dup, quality, url_filter
 from termtide.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -41,6 +41,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = hnsw.embedding_links(table(spark, sf_dir, "embeddings"))
+    own = F.col("component").eqNullSafe(F.col("id"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), own.alias("kept")
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sizes(table(spark, sf_dir, "documents"))
     return mixed.select(
@@ -54,5 +62,6 @@ QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_katz_scores": op7_katz_scores,
     "op8_url_filter": op8_url_filter,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_mixing": op10_mixing,
 }
