@@ -83,3 +83,12 @@ def dedup_lines(
         *(F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_names),
         "n_lines", "n_dropped",
     )
+
+
+def drop_shared_lines(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", **options) -> DataFrame:
+    """`dedup_lines` with the columns of ``docs`` alone; a column of the text's length follows it."""
+    found = dedup_lines(docs, text_col=text_col, **options)
+    length = F.char_length(F.col(text_col)).cast("long")
+    return found.select(
+        *(length.alias(c) if c == chars_col else F.col(f"`{c}`") for c in docs.columns)
+    )

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import hnsw, katz, line_dedup, mixing, near_dup, quality, url_filter
+from termtide.llm import (
+    hnsw, html_extract, katz, licenses, line_dedup, mixing, near_dup, packing, quality, url_filter,
+)
 from termtide.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -13,11 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge_quality(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -57,7 +74,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_license_scan": op2_license_scan,
     "op3_line_dedup": op3_line_dedup,
+    "op4_html_extract": op4_html_extract,
     "op5_quality_rules": op5_quality_rules,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_katz_scores": op7_katz_scores,
