@@ -15,7 +15,7 @@ BANDS, ROWS = 42, 6
 WIDTH = BANDS * ROWS
 PIECE = 1 << 19
 #: Members of a bucket that one task compares with so many others at most.
-BLOCK = 1024
+BLOCK = 512
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -122,21 +122,26 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wo
     )
 
 
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Do two sets share that percentage of their union or more?"""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def linked(
     docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words: int, percent: int
 ) -> DataFrame:
     """Of pairs (a, b), those whose full sets share that percentage of their union or more."""
 
+    def bytes_to_set(x):
+        return np.frombuffer(x.as_py(), np.uint64)
+
     def verified(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("of_a"), batch.column("of_b")):
-                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            sides = (map(bytes_to_set, batch.column(c)) for c in ("of_a", "of_b"))
+            keep = [alike(x, y, percent) for x, y in zip(*sides)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
@@ -147,12 +152,16 @@ def linked(
     return both.select("a", "b", "of_a", "of_b").mapInArrow(verified, "a bigint, b bigint")
 
 
-def unlike_blocks(members: DataFrame, least_share: float) -> DataFrame:
-    """Pairs (a, b) within a bucket that may be alike and lie in different components.
+def block_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within buckets that connect what wasn't connected yet.
 
-    ``members``: bucket, x, y (blocks), side, doc, component, sketch. Each (bucket, x, y) is one
-    block pair of bounded size; a task takes one after the other from its sorted rows.
+    ``members``: bucket, x, y (blocks), side, doc, component, sketch, shingles. Each (bucket, x, y) is
+    one pair of blocks of bounded size; a task takes one after the other from its sorted rows.
+    Pairs in different components whose sketches don't rule them out are verified on their full
+    sets, the likeliest first, until a link connects their components.
     """
+    share = percent / 100
+    least = (share - 4.5 * (share * (1 - share) / WIDTH) ** 0.5) * WIDTH
 
     def compared(batches):
         held: list[pa.RecordBatch] = []
@@ -173,7 +182,8 @@ def unlike_blocks(members: DataFrame, least_share: float) -> DataFrame:
         cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1
         doc, comp, side = (table.column(c).to_numpy() for c in ("doc", "component", "side"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, WIDTH)
-        found = []
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        links = []
         for a, b in zip([0, *cuts], [*cuts, len(keys)]):
             across = keys[a][1] != keys[a][2]
             left = a + np.flatnonzero(side[a:b] == 0) if across else np.arange(a, b)
@@ -182,14 +192,35 @@ def unlike_blocks(members: DataFrame, least_share: float) -> DataFrame:
                 # Pairs within the largest component need no look: compare the others with all.
                 names, size = np.unique(comp[left], return_counts=True)
                 left = left[comp[left] != names[size.argmax()]]
-            for at in range(0, len(left), 16):
-                part = left[at : at + 16]
-                same = (sketch[part][:, None, :] == sketch[right][None, :, :]).sum(axis=2)
-                near = (same >= least_share * WIDTH) & (comp[part][:, None] != comp[right][None, :])
-                i, j = np.nonzero(near)
-                found.append(np.sort(np.stack([doc[part[i]], doc[right[j]]]), axis=0))
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+            for i, j in likely(sketch, comp, left, right):
+                if top(comp[i]) != top(comp[j]) and alike(sets[i], sets[j], percent):
+                    parent[max(top(comp[i]), top(comp[j]))] = min(top(comp[i]), top(comp[j]))
+                    links.append((doc[i], doc[j]))
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))],
+            ["a", "b"],
+        )
+
+    def likely(sketch, comp, left, right):
+        found = []
+        for at in range(0, len(left), 16):
+            part = left[at : at + 16]
+            same = (sketch[part][:, None, :] == sketch[right][None, :, :]).sum(axis=2)
+            i, j = np.nonzero((same >= least) & (comp[part][:, None] != comp[right][None, :]))
+            found.append(np.stack([part[i], right[j], same[i, j]]))
+        if not found:
+            return
+        i, j, same = np.concatenate(found, axis=1)
+        for at in np.argsort(-same, kind="stable"):
+            yield i[at], j[at]
+
+    parent: dict[int, int] = {}
+
+    def top(x):
+        while (up := parent.get(x, x)) != x:
+            x = up
+        return x
 
     rows = members.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
     return rows.mapInArrow(compared, "a bigint, b bigint").distinct()
@@ -210,12 +241,12 @@ def near_duplicates(
     2. In each bucket of a band all members are verified against the smallest and the largest id:
        two pairs a member, however large the bucket.
     3. Buckets of four members or more that still hold several components are compared whole,
-       block by block, by their sketches; only what may be alike and isn't connected yet becomes
-       a pair and is verified. Thus every pair that shares a bucket is verified, ruled out by its
-       sketch, or connected already.
+       block by block, within tasks: pairs that aren't connected yet and that their sketches don't
+       rule out are verified there. Thus every pair that shares a bucket is verified, ruled out
+       by its sketch, or connected already; none of these pairs becomes a row.
 
     Two documents at 80 % miss all 42 bands of 6 with a probability of about 3 in a million, and
-    less above. Sketches rule out below ``percent`` less six standard deviations.
+    less above; a sketch rules out a pair at ``percent`` (4.5 standard deviations) about as rarely.
     """
     sketched = written(sketches(docs, id_col, text_col, words), "dup-sketches")
     known = sketched.where("n > 0 and doc is not null")
@@ -264,18 +295,17 @@ def near_duplicates(
             "bucket", "doc", "component", blocks.alias("blocks")
         )
         inside = inside.withColumn("own", own).select("*", cells.alias("other"))
-        inside = inside.join(
-            leading.select("doc", "sketch").dropDuplicates(["doc"]).hint("merge"), "doc"
-        ).select(
+        inside = written(inside, "dup-blocks")
+        ids = written(inside.select("doc").distinct(), "dup-ids")
+        sets = full_sets(docs, ids, id_col, text_col, words)
+        sets = sets.distinct().join(leading.select("doc", "sketch").distinct(), "doc")
+        inside = inside.join(written(sets, "dup-sets").hint("merge"), "doc").select(
             "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
             (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "component", "sketch",
+            "shingles",
         )
-        share = percent / 100
-        least = share - 6 * (share * (1 - share) / WIDTH) ** 0.5
-        more = unlike_blocks(inside, least).join(pairs, ["a", "b"], "left_anti")
-        more = linked(docs, written(more, "dup-pairs"), id_col, text_col, words, percent)
         stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        found = components(written(more.unionByName(stars), "dup-links"))
+        found = components(written(block_links(inside, percent).unionByName(stars), "dup-links"))
 
     named = members.join(hinted(found), members["rep"] == found["node"], "left").select(
         "doc", F.coalesce("component", "rep").alias("component")
