@@ -382,6 +382,14 @@ def oracle_sql() -> dict[str, str]:
             "from routed join by_month on kind = 'hashtag' and term = hashtag"
         ),
         "lookup_merged": merged("hashtag", "left"),
+        "lookup_after_rebuild": month_view(
+            "hashtag",
+            f"select '#src7' as phrase, tweet_month as month, {SERIES_COLUMNS} from by_month "
+            "where hashtag = 'src7'",
+        ),
+        "counters_after_compaction": (
+            POSTS + ROWS["hashtag"] + by_month("hashtag", STREAMED, "speed", zero=True)
+        ).select("select * from speed"),
         "merge_views_full": merged("ngram", "full"),
         "lookup_many": (
             PHRASES + ROUTED + POSTS + ROWS["ngram"] + by_month("ngram", name="by_ngram")

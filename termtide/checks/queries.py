@@ -426,6 +426,27 @@ def merge_views_full(spark, sf_dir):
     return merge.merge_views(*_batch_and_counters(spark, sf_dir, "ngram"), "ngram", "full")
 
 
+@query
+def counters_after_compaction(spark, sf_dir):
+    """Batches after a mark, folded, with everything else cleared away."""
+    posts, log = adapters.posts(spark, sf_dir), CounterLog(new_folder(spark, "counters"))
+    streamed, even = F.col("tweet_client_name") >= "src5", F.col("tweetid").cast("bigint") % 2 == 0
+    for n, part in enumerate([~streamed, streamed & even, streamed & ~even]):
+        log.add(posts.where(part), n)
+    log.compact(spark, after=0, clear=True)
+    return log.read(spark, "hashtag", after=0)
+
+
+@query
+def lookup_after_rebuild(spark, sf_dir):
+    """The views hold all posts; the log still holds those that were counted before."""
+    store, log = ViewStore(new_folder(spark, "views")), CounterLog(new_folder(spark, "counters"))
+    posts = adapters.posts(spark, sf_dir)
+    log.add(posts.where(F.col("tweet_client_name") >= "src5"), 0)
+    build.build_views(spark, posts, None, store, counted=0)
+    return serve.lookup_series(spark, store, lookup.one_term(spark, "#src7"), log, "full")
+
+
 # Stream.
 
 

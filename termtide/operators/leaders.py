@@ -28,8 +28,15 @@ def top_users(usage: DataFrame, term: str, k: int = 5) -> DataFrame:
 
 
 def profiles_of(users: DataFrame) -> DataFrame:
-    """The profile columns, with the join strategy their measured size calls for."""
-    profiles = users.select("user_id", *PROFILE)
+    """The profile columns, with the join strategy their measured size calls for.
+
+    An account that comes in several rows has the profile that is least, compared column by
+    column, so no list of top users holds it twice.
+    """
+    profile = F.min(F.struct(*PROFILE)).alias("profile")
+    profiles = users.groupBy("user_id").agg(profile).select(
+        "user_id", *[F.col(f"profile.{c}").alias(c) for c in PROFILE]
+    )
     return profiles.hint(join_hint(profiles))
 
 
@@ -47,10 +54,13 @@ def collect_leaders(info: DataFrame, term: str) -> DataFrame:
 
 
 def pack(leaders: DataFrame, term: str) -> DataFrame:
-    """The array as nine parallel text lists. A missing value takes an empty place, so
-    position i is the same user in every list."""
+    """The array as nine parallel text lists. A missing value takes an empty place, and a
+    separator or a part of one at an end of a value is one space, so position i is the same user
+    in every list."""
     def joined(field: str):
         values = F.col(f"users.{field}").cast("array<string>")
+        if field in PROFILE:
+            values = F.transform(values, lambda x: F.regexp_replace(x, r"\t,\t|^,?\t|\t,?$", " "))
         return F.array_join(values, SEPARATOR, "").alias(PACKED[field])
 
     return leaders.select(term, *[joined(c) for c in PACKED])

@@ -9,7 +9,7 @@ from ..schemas import TOTALS
 
 def one_term(spark: SparkSession, term: str) -> DataFrame:
     if not term:
-        raise ValueError("No terms entered!")
+        raise ValueError("a lookup needs a term")
     return spark.range(1).select(F.lit(term).alias("phrase"))
 
 

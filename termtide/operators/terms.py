@@ -57,10 +57,13 @@ def explode_ngrams(posts: DataFrame, sizes: Sequence[int] = SIZES) -> DataFrame:
 
 
 def explode_hashtags(posts: DataFrame) -> DataFrame:
-    """One row per hashtag in lower case; blank ones are dropped."""
+    """One row per hashtag in lower case; blank ones are dropped.
+
+    The exploded thing is an expression, as in `explode_ngrams`: lists are parsed once.
+    """
     carried = [c for c in posts.columns if c != "hashtags"]
-    tags = posts.select(*carried, F.explode("hashtags").alias("hashtag"))
-    return tags.withColumn("hashtag", F.lower("hashtag")).where(F.col("hashtag") != "")
+    tags = posts.select(*carried, F.explode(F.transform("hashtags", F.lower)).alias("hashtag"))
+    return tags.where(F.col("hashtag") != "")
 
 
 def ngram_rows(posts, lang="en", sizes=SIZES, stop_words=STOP_WORDS, week_year=False) -> DataFrame:

@@ -48,15 +48,26 @@ def read_top_users(spark: SparkSession, store: ViewStore, term: str) -> DataFram
 def build_views(
     spark: SparkSession, posts: DataFrame, users: DataFrame | None, store: ViewStore,
     lang: str = "en", sizes: Sequence[int] = SIZES, k: int = 5,
-    stop_words: Sequence[str] = STOP_WORDS, week_year: bool = False,
+    stop_words: Sequence[str] = STOP_WORDS, week_year: bool = False, counted: int | None = None,
 ) -> None:
     """Overwrite all four views, or without ``users`` the two month views.
 
+    ``counted`` is the last counter batch whose posts are among ``posts``; it is stored with
+    the views, and lookups add later batches only.
+
     The cleaned words are written once, in the shared folder, and read by both n-gram
     jobs: cleaning costs more than reading the words back, and a lost executor then
     repeats only its own files.
     """
     folder = new_folder(spark, "words")
+    try:
+        _build(spark, posts, users, store, folder, lang, sizes, k, stop_words, week_year)
+        store.set_mark(spark, counted)
+    finally:
+        drop_folder(spark, folder)
+
+
+def _build(spark, posts, users, store, folder, lang, sizes, k, stop_words, week_year) -> None:
     kept = posts_in_language(spread(posts, "tweetid"), lang, week_year)
     words = write_table(with_words(kept, stop_words), folder)
     rows = {
@@ -69,4 +80,3 @@ def build_views(
         profiles = profiles_of(users)
         for term in rows:
             publish_top_users(store, rows[term], profiles, term, k)
-    drop_folder(spark, folder)

@@ -34,12 +34,14 @@ RAW_USER_COLUMNS = [
     "following_count", "account_creation_date", "account_language",
 ]
 
-# Fields a stream message must carry to be counted.
+# Fields read from a stream message, of which the first three must be there.
 MESSAGE_FIELDS = [
     "tweet_time", "tweet_text", "tweet_language", "userid", "hashtags",
     "quote_count", "reply_count", "like_count", "retweet_count",
 ]
 
+NEEDED_FIELDS = MESSAGE_FIELDS[:3]
+
 # The four per-post reaction counts, and the totals kept for them in every view.
 COUNTS = ["quote_count", "reply_count", "like_count", "retweet_count"]
 TOTALS = [f"total_{c}" for c in COUNTS]

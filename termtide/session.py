@@ -1,5 +1,6 @@
 """Where intermediate and published tables go."""
 
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,7 @@ def settings(input_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[
         # Users of a term are collected from rows that are sorted by term already.
         "spark.sql.execution.replaceHashWithSortAgg": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
-        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(task_bytes),
     }
 
@@ -60,15 +61,16 @@ def settings(input_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[
 def spread(rows: DataFrame, key: str, tasks_per_core: int = 2) -> DataFrame:
     """Deal a small scan out over all cores, by hash of ``key``.
 
-    A file comes in as many tasks as it has row groups, so a small table of few files can
-    leave most cores without work. A scan of at least one full split per core is returned
-    as it is: there the extra shuffle would cost more than it gives.
+    A file comes in as many tasks as it has splits, one if it is CSV with line breaks in
+    quotes, so a table of few files can leave most cores without work. What comes in one
+    partition per core or more, and what has been shuffled, is returned as it is: there
+    the extra shuffle would cost more than it gives.
     """
-    spark = rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    scanned = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return rows if scanned >= cores * split else rows.repartition(tasks_per_core * cores, key)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    if re.search(r"(?<!Broadcast)Exchange", plan) or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(tasks_per_core * cores, key)
 
 
 def join_hint(rows: DataFrame, limit: int = 64 << 20) -> str:

@@ -72,6 +72,18 @@ class ViewStore:
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))
 
+    def set_mark(self, spark: SparkSession, batch_id: int | None) -> None:
+        """Note the last counter batch whose posts the views hold; None: they hold none."""
+        spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id")).write.mode(
+            "overwrite"
+        ).parquet(f"{self.root}/counted")
+
+    def mark(self, spark: SparkSession) -> int | None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/counted/_SUCCESS")
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            return None
+        return spark.read.schema("batch_id bigint").parquet(f"{self.root}/counted").first()[0]
+
 
 def keyed_by_month(view: DataFrame, term: str) -> DataFrame:
     """A month view in its serving form: ``term_month`` key and the seven columns."""

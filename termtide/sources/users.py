@@ -1,5 +1,8 @@
 """Accounts: CSV scan by header name and the users dimension."""
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +12,25 @@ from ..schemas import RAW_USER_COLUMNS
 
 
 def scan_users_csv(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
-    """The 10 account columns as text, found by header name in whatever order."""
-    rows = spark.read.csv(
-        path, header=True, sep=",", quote='"', escape='"', multiLine=multi_line
+    """The 10 account columns as text, found by header name in whatever order.
+
+    Files need not agree in their order: one pass finds the header row of each file, and
+    files of one header are one scan.
+    """
+    options = {"sep": ",", "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = F.split(F.regexp_replace("value", '["\ufeff\r]', ""), ",")
+    is_header = F.size(F.array_intersect("header", F.lit(RAW_USER_COLUMNS))) == len(RAW_USER_COLUMNS)
+    headers = (
+        spark.read.text(path).select(F.input_file_name().alias("file"), header.alias("header")).where(is_header)
+        .groupBy("header").agg(F.collect_set("file").alias("files")).orderBy("header").collect()
     )
-    return rows.select(*RAW_USER_COLUMNS)
+    if not headers:
+        raise ValueError(f"no file at {path} has all account columns in its header")
+    scans = [
+        spark.read.csv([unquote(f) for f in h["files"]], header=True, **options).select(*RAW_USER_COLUMNS)
+        for h in headers
+    ]
+    return reduce(DataFrame.unionByName, scans)
 
 
 def users_dimension(raw: DataFrame) -> DataFrame:
@@ -44,9 +61,14 @@ def users_dimension(raw: DataFrame) -> DataFrame:
 
 def user_rejects(users: DataFrame) -> DataFrame:
     """How many account rows lost a required field in the load, by field."""
-    required = ["account_creation_year", "account_language", "follower_count", "following_count"]
+    required = [
+        "user_id", "user_display_name", "user_screen_name", "account_creation_year",
+        "account_language", "follower_count", "following_count",
+    ]
     lost = F.filter(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]),
+        F.array(*[
+            F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", F.lit(c)) for c in required
+        ]),
         lambda field: field.isNotNull(),
     )
     return users.select(F.explode(lost).alias("field")).groupBy("field").agg(

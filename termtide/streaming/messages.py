@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import blank_to_null
-from ..schemas import MESSAGE_FIELDS, all_strings
+from ..schemas import MESSAGE_FIELDS, NEEDED_FIELDS, all_strings
 from ..sources.posts import normalize_posts
 
 _BAD = "_corrupt_record"
@@ -13,12 +13,13 @@ _BODY = all_strings([*MESSAGE_FIELDS, _BAD])
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """The message fields as text, and ``reason``: why a message cannot be counted, or
-    NULL. A field may be null or blank but must be there."""
+    NULL. Time, text and language may be null or blank but must be there; any other field
+    that is absent is NULL."""
     body = F.from_json(
         "value", _BODY, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     )
     absent = F.array_except(
-        F.array(*[F.lit(c) for c in MESSAGE_FIELDS]), F.json_object_keys("value")
+        F.array(*[F.lit(c) for c in NEEDED_FIELDS]), F.json_object_keys("value")
     )
     parsed = messages.select("value", body.alias("body"), absent.alias("absent"))
     time = blank_to_null(F.col("body.tweet_time"))

@@ -64,6 +64,19 @@ def test_counters_are_added(spark, store, post):
     assert [(r["month"], r["count"]) for r in full] == [("01-2018", 1), ("03-2017", 2), ("11-2016", 1)]
 
 
+def test_batches_that_the_views_hold_are_not_added_again(spark, store, post):
+    log = CounterLog(new_folder(spark, "counters"))
+    posts = post({"hashtags": ["fox"]})
+    log.add(posts, 0)
+    build.build_views(spark, posts, None, store, counted=0)
+    count = lambda: [r["count"] for r in serve.lookup(spark, store, "#fox", log)[0].collect()]
+    assert count() == [1]
+    log.add(post({"hashtags": ["fox"]}), 1)
+    assert count() == [2]
+    log.compact(spark, store.mark(spark), clear=True)
+    assert count() == [2]
+
+
 def test_one_term_reads_one_bucket(spark, store):
     series, _ = serve.lookup(spark, store, "#fox")
     plan = series._jdf.queryExecution().executedPlan().toString()

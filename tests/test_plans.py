@@ -64,13 +64,20 @@ def test_leaders_are_never_the_broadcast_side(spark, small):
 def test_small_scans_are_spread_and_large_ones_left(spark, small, monkeypatch):
     scan = spark.read.parquet(f"{small}/documents.parquet")
     assert "Exchange" in plan(spread(scan, "doc_id"))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    try:
-        assert spread(scan, "doc_id") is scan
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    many = scan.repartition(40)
+    assert spread(many, "doc_id") is many
+    # A broadcast join keeps the partitions of the scan, whatever Spark's size estimate is.
+    orders = spark.read.parquet(f"{small}/orders.parquet").hint("broadcast")
+    joined = scan.join(orders, scan["doc_id"] == orders["o_orderkey"])
+    assert "Exchange hashpartitioning(doc_id" in plan(spread(joined, "doc_id"))
+
+
+def test_hashtag_lists_are_parsed_once(spark, small):
+    rows = terms.hashtag_rows(adapters.posts(spark, small))
+    text = plan(usage.usage_by_month(rows, "hashtag"))
+    assert text.count("split(") == 1 and text.count("regexp_replace(") == 1
 
 
 def test_settings_grow_with_the_input():
     assert settings(1 << 20, 8)["spark.sql.shuffle.partitions"] == "8"
-    assert int(settings(100 << 40, 4000)["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(settings(100 << 40, 4000)["spark.sql.shuffle.partitions"]) == 8_192_000

@@ -43,7 +43,20 @@ def test_users_csv_in_any_column_order(spark, tmp_path):
     assert good["account_language"] == "FRENCH" and good["following_count"] == 0
     assert bad["account_language"] is None and bad["follower_count"] is None
     rejects = {r["field"]: r["rows"] for r in user_rejects(users).collect()}
-    assert rejects == {"account_creation_year": 1, "account_language": 1, "follower_count": 1}
+    lost = {"user_display_name": 2, "user_screen_name": 2}
+    assert rejects == {**lost, "account_creation_year": 1, "account_language": 1, "follower_count": 1}
+
+
+def test_users_csv_of_files_in_different_orders(spark, tmp_path):
+    row = {c: c[:3] for c in RAW_USER_COLUMNS}
+    write_csv(tmp_path / "a b.csv", RAW_USER_COLUMNS, {**row, "userid": "1"})
+    write_csv(tmp_path / "b.csv", [*reversed(RAW_USER_COLUMNS)], {**row, "userid": "2"})
+    write_csv(tmp_path / "c.csv", ["more", *RAW_USER_COLUMNS], {**row, "userid": ""})
+    got = scan_users_csv(spark, str(tmp_path)).fillna("").collect()
+    assert sorted(r["userid"] for r in got) == ["", "1", "2"]
+    assert all(r[c] == c[:3] for r in got for c in RAW_USER_COLUMNS[1:])
+    rejects = {r["field"]: r["rows"] for r in user_rejects(users_dimension(scan_users_csv(spark, str(tmp_path)))).collect()}
+    assert rejects["user_id"] == 1
 
 
 def test_append_and_overwrite(spark):

@@ -37,11 +37,11 @@ def test_reasons(spark):
     lacking = {k: v for k, v in BODY.items() if k not in ("hashtags", "userid")}
     messages = as_messages(
         spark, BODY, json.dumps(BODY)[:-3], "", "[1]", lacking, {**BODY, "tweet_time": "soon"},
-        {**BODY, "tweet_time": ""}, {**BODY, "tweet_text": None},
+        {**BODY, "tweet_time": ""}, {**BODY, "tweet_text": None}, {"tweet_text": "a", "userid": "u"},
     )
     assert [r["reason"] for r in parse_messages(messages).collect()] == [
-        None, "malformed", "malformed", "malformed", "missing: userid, hashtags",
-        "malformed: tweet_time", None, None,
+        None, "malformed", "malformed", "malformed", None,
+        "malformed: tweet_time", None, None, "missing: tweet_time, tweet_language",
     ]
 
 
@@ -80,9 +80,34 @@ def test_compaction_keeps_sums_and_later_batches_add(spark, log):
     assert counted(spark, log, after=1) == [("red fox", "03-2017", 2)]
 
 
-def test_empty_batch_leaves_no_trace(spark, log):
+def test_empty_batch_is_known_and_a_lost_one_is_missed(spark, log):
     log.apply(as_messages(spark), 0)
-    assert log.batches(spark) == []
+    log.apply(as_messages(spark, BODY), 1)
+    assert log.batches(spark) == [0, 1] and counted(spark, log) == [("red fox", "03-2017", 1)]
+    log.apply(as_messages(spark, BODY), 3)
+    with pytest.raises(RuntimeError, match="batch 2"):
+        log.read(spark, "ngram")
+    assert counted(spark, log, after=2) == [("red fox", "03-2017", 1)]
+
+
+def test_folds_are_cleared_and_read_after_a_mark(spark, log):
+    for n in range(4):
+        log.apply(as_messages(spark, BODY), n)
+    assert log.compact(spark, after=1, clear=True) == 3
+    assert log.batches(spark) == [] and log.folds(spark) == [(2, 3)]
+    assert counted(spark, log, after=1) == [("red fox", "03-2017", 2)]
+    log.apply(as_messages(spark, BODY), 4)
+    assert counted(spark, log, after=1) == [("red fox", "03-2017", 3)]
+    assert log.compact(spark, after=1, clear=True) == 4 and log.folds(spark) == [(2, 4)]
+    assert counted(spark, log, after=1) == [("red fox", "03-2017", 3)]
+    for mark in (None, 2):
+        with pytest.raises(RuntimeError):
+            log.read(spark, "ngram", after=mark)
+
+
+def test_absent_counts_are_null_and_counted(spark, log):
+    log.apply(as_messages(spark, {k: BODY[k] for k in ("tweet_time", "tweet_text", "tweet_language")}), 0)
+    assert tuple(log.read(spark, "ngram").first()) == ("03-2017", "red fox", 1, 0, 0, 0, 0)
 
 
 def test_messages_of_rows(spark):
