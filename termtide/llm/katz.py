@@ -40,7 +40,7 @@ END, START = np.uint64(1), np.uint64(2)
 #: Counts up to this are discounted.
 K = 5
 PIECE = 1 << 20
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_500_000
 PART_BYTES = 24 << 20
 
 
