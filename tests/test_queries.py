@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as registry
 import check
+from termtide.checks import oracles
+from termtide.checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +14,14 @@ def con(small):
 
 
 def test_every_query_has_an_oracle():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(QUERIES) == set(oracles.oracle_sql())
+    assert set(QUERIES) <= set(registry.queries()) and set(registry.oracle_sql()) <= set(registry.queries())
 
 
 def test_entry(spark):
     assert registry.entry(spark).columns[:3] == ["tweet_month", "ngram", "count"]
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, small, name):
     assert check.compare(spark, con, name, small) == ""
