@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import pickle
 
 import numpy as np
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 from termtide.llm.components import components, roots
 from termtide.llm.tables import hinted, written
 
-#: Vectors in a shard, on average.
-SHARD = 4096
+#: Vectors in a shard at most, on average, which bounds a task's memory.
+SHARD = 32768
+#: Below that, shards grow with the root of the number of vectors: as many as they are, times this.
+ROOT = 1024
 #: Links of a vector that are made when it comes in, and held at most, on the lowest layer.
 LINKS, MOST = 12, 32
 #: Beam widths, one after the other; then the whole shard is looked at.
@@ -134,15 +137,32 @@ class Graph:
         return who, like
 
 
+class Forest:
+    """Components of links that come in by and by; a node is named by the least of its component."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Only links between different components so far are looked at one by one."""
+        a, b, n = self.label[a], self.label[b], len(self.label)
+        apart = a != b
+        pairs = np.unique(a[apart] * n + b[apart])
+        if len(pairs):
+            found = roots(zip((pairs // n).tolist(), (pairs % n).tolist()))
+            to = np.arange(n)
+            to[list(found)] = list(found.values())
+            self.label = to[self.label]
+
+
 def links_of(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float):
-    """(query, vector) of all pairs with that cosine or more, in double precision; audited recall.
+    """(query, vector) of all pairs with that cosine or more, in double precision, part by part.
 
     A query whose whole beam is that near is asked again with a wider one, and at last looks at the
     whole shard. If audited ones of the other queries miss links, those are asked again as well.
     """
     slack = least - 1e-4
     left = np.arange(len(queries))
-    found: list[tuple[np.ndarray, np.ndarray]] = []
     picked = lambda rows: rows[np.unique(np.linspace(0, len(rows) - 1, AUDITED).astype(int))]
     for beam in BEAMS:
         if not len(left) or 2 * beam >= len(exact):
@@ -166,18 +186,19 @@ def links_of(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float)
             due = (queries[audit] @ exact.T >= least).sum()
             if np.isin(q, audit).sum() < RECALL * due:
                 continue
-        found.append((q, x))
+        yield q, x
         left = full
-    for a in range(0, len(left), 1024):
-        part = left[a : a + 1024]
+    for a in range(0, len(left), 256):
+        part = left[a : a + 256]
         q, x = np.nonzero(queries[part] @ exact.T >= least)
-        found.append((part[q], x))
-    if not found:
-        return np.zeros(0, int), np.zeros(0, int), 1.0
-    q, x = (np.concatenate(c) for c in zip(*found))
-    audit = picked(np.arange(len(queries)))
+        yield part[q], x
+
+
+def recall_of(tally: np.ndarray, exact: np.ndarray, queries: np.ndarray, least: float) -> float:
+    """Of links found per query, on some queries held against a full look."""
+    audit = np.unique(np.linspace(0, len(queries) - 1, AUDITED).astype(int))
     truth = (queries[audit] @ exact.T >= least).sum()
-    return q, x, float(np.isin(q, audit).sum() / truth) if truth else 1.0
+    return float(tally[audit].sum() / truth) if truth else 1.0
 
 
 def embedding_links(
@@ -193,9 +214,12 @@ def embedding_links(
     by its smallest id. An empty table gives no rows. Other columns are not read.
 
     Vectors are dealt to shards by a hash of the id; one task builds a shard's graph, which is
-    written. Every shard is then asked for the vectors of every block (the vectors of a shard), one
-    pair of them at a time, so no task holds more than two shards. A pair returns counts and a
-    spanning forest of its links, not the links.
+    written. Every shard is then asked for its own vectors and for those of every block (the vectors
+    of a shard) before it; a link found between two shards counts on both sides. Each pair of shard
+    and block is a piece of work of its own, so no task holds more than two shards at a time. It
+    returns counts and a spanning forest of its links, and never holds more links than those of
+    256 vectors to a shard, or the beams'. Shards hold ``shard`` vectors at most, and while there
+    are few of them grow with the root of all, so that searches don't grow with its square.
     """
     v = F.col(vector_col)
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -212,7 +236,8 @@ def embedding_links(
         ),
         "embedding-classes",
     )
-    shards = max(1, -(-classes.count() // shard))
+    count = classes.count()
+    shards = max(1, -(-count // shard), math.ceil(math.sqrt(count / ROOT)))
     kind = np.float32 if dict(classes.dtypes)["v"] == "array<float>" else np.float64
 
     def built(key, table):
@@ -241,27 +266,35 @@ def embedding_links(
         ids, copies, matrix = pickle.loads(table.column("vectors")[0].as_py())
         graph = Graph.__new__(Graph)
         graph.entry, graph.layers = pickle.loads(table.column("graph")[0].as_py())
-        own, _, queries = pickle.loads(table.column("queries")[0].as_py())
+        own, held, queries = pickle.loads(table.column("queries")[0].as_py())
         exact = unit(matrix)
         graph.vectors = exact.astype(np.float32)
-        q, x, recall = links_of(graph, exact, unit(queries), least)
-        other = own[q] != ids[x]
-        q, x = q[other], x[other]
-        links = np.bincount(q, weights=copies[x], minlength=len(own)).astype(np.int64)
-        some = np.flatnonzero(links)
-        forest = roots(zip(own[q].tolist(), ids[x].tolist()))
-        a = [*own[some].tolist(), *forest.keys(), None]
-        b = [*(None for _ in some), *forest.values(), None]
-        n = [*links[some].tolist(), *(None for _ in forest), None]
+        asking, cross = unit(queries), key[1] != key[2]
+        nodes = np.unique(np.concatenate([own, ids]))
+        left, right = np.searchsorted(nodes, own), np.searchsorted(nodes, ids)
+        forest, links, tally = Forest(len(nodes)), np.zeros(len(nodes), np.int64), np.zeros(len(own), int)
+        for q, x in links_of(graph, exact, asking, least):
+            tally += np.bincount(q, minlength=len(own))
+            other = left[q] != right[x]
+            q, x = q[other], x[other]
+            np.add.at(links, left[q], copies[x])
+            if cross:
+                np.add.at(links, right[x], held[q])
+            forest.add(left[q], right[x])
+        some, hung = np.flatnonzero(links), np.flatnonzero(forest.label != np.arange(len(nodes)))
+        recall = recall_of(tally, exact, asking, least)
+        a = [*nodes[some].tolist(), *nodes[hung].tolist(), None]
+        b = [*(None for _ in some), *nodes[forest.label[hung]].tolist(), None]
+        n = [*links[some].tolist(), *(None for _ in hung), None]
         return pa.table({
             "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64()),
             "recall": pa.array([None] * (len(a) - 1) + [recall], pa.float64()),
         })
 
     blocks = index.select("size", F.col("shard").alias("block"), F.col("vectors").alias("queries"))
-    blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    cells = blocks.repartition(min(shards * shards, 4096), "size", "shard", "block").join(
-        index.hint("merge"), ["size", "shard"]
+    blocks = blocks.withColumn("shard", F.explode(F.sequence("block", F.lit(shards - 1))))
+    cells = blocks.join(index.hint("merge"), ["size", "shard"]).repartition(
+        min(shards * (shards + 1) // 2, 4096), "size", "shard", "block"
     )
     answers = written(
         cells.groupBy("size", "shard", "block").applyInArrow(
