@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termtide.llm.tables import hinted, written
+from termtide.session import join_hint
 from termtide.llm.textscan import (
-    BLANK, counts_in, lines_of, pieces, runs_of, texts_of, words_of,
+    BLANK, counts_in, lines_of, mixed, pieces, runs_of, texts_of, words_of,
 )
 
 #: Name and least spread of each statistic. The spread, as a standard deviation, keeps a statistic
@@ -35,9 +36,14 @@ _ASCII_LETTER = _LETTER & (np.arange(256) < 128)
 
 
 def repeated(row: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of (row, value) pairs: is there another one; is there an earlier one."""
-    order = np.lexsort((value, row))
-    same = (row[order][1:] == row[order][:-1]) & (value[order][1:] == value[order][:-1])
+    """Of (row, value) pairs: is there another one; is it one of them, but not the one that counts.
+
+    Pairs are told apart by a 64-bit hash of both, as their values are hashes already.
+    """
+    key = mixed(value + mixed(row.astype(np.uint64)))
+    order = np.argsort(key)
+    key = key[order]
+    same = key[1:] == key[:-1]
     later = np.concatenate(([False], same)) if len(order) else np.zeros(0, bool)
     any_ = later.copy()
     any_[:-1] |= same
@@ -187,7 +193,13 @@ def limits_of(rows: DataFrame, share: float) -> DataFrame:
     )
 
 
-def robust_shapes(rows: DataFrame, share: float, steps: int) -> DataFrame:
+def cell_hint(cells: DataFrame) -> str:
+    """How a table of one row per cell is joined: by the measured names of the cells, and room for
+    as many numbers as any such table has."""
+    return join_hint(cells.select("cell", F.lit("-" * 24 * (len(CENTRE) + len(SHAPE) + 1)).alias("numbers")))
+
+
+def robust_shapes(rows: DataFrame, share: float, steps: int, hint: str) -> DataFrame:
     """Minimum-covariance-determinant estimates per cell, by concentration steps.
 
     From medians and the spread about them, each step keeps the ``share`` of rows nearest to the
@@ -200,7 +212,7 @@ def robust_shapes(rows: DataFrame, share: float, steps: int) -> DataFrame:
         *(F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(names))
     )
     middle = written(middle, "quality-medians")
-    spread = rows.join(hinted(middle), "cell").groupBy("cell").agg(
+    spread = rows.join(middle.hint(hint), "cell").groupBy("cell").agg(
         *(
             F.percentile_approx(F.abs(F.col(x) - F.col(f"m{i}")), 0.5, 10000).alias(f"d{i}")
             for i, x in enumerate(names)
@@ -219,12 +231,12 @@ def robust_shapes(rows: DataFrame, share: float, steps: int) -> DataFrame:
         ),
     )
     for _ in range(steps):
-        placed = rows.join(hinted(written(shapes, "quality-shapes")), "cell").withColumn("d2", distance())
+        placed = rows.join(written(shapes, "quality-shapes").hint(hint), "cell").withColumn("d2", distance())
         limits = written(limits_of(placed, share), "quality-limits")
-        near = placed.join(hinted(limits), "cell").where(octave(F.col("d2")) <= F.col("edge"))
+        near = placed.join(limits.hint(hint), "cell").where(octave(F.col("d2")) <= F.col("edge"))
         shapes = shapes_of(moments_of(near))
     shapes = written(shapes, "quality-shapes")
-    placed = rows.join(hinted(shapes), "cell").withColumn("d2", distance())
+    placed = rows.join(shapes.hint(hint), "cell").withColumn("d2", distance())
     middle = limits_of(placed, 0.5).select(
         "cell",
         F.greatest(
@@ -265,18 +277,19 @@ def judge_quality(
         small.select(F.col(lang).alias("__lang"), "rest"), F.col(lang).eqNullSafe(F.col("__lang")), "left"
     ).select(
         F.col(lang).alias("__lang"), F.col(source).alias("__source"),
-        F.coalesce(cell, F.lit("others")).alias("cell"),
+        F.coalesce(cell, F.lit("others")).alias("cell"), "n",
     )
     cells = written(cells, "quality-cells")
     placed = rows.join(
-        hinted(cells),
+        hinted(cells.drop("n")),
         F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")), "left",
     ).drop("__lang", "__source")
     fit = placed.where("not base_failed").select("cell", *STATISTICS)
-    enough = fit.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_rows)
-    fit = fit.join(hinted(written(enough.select("cell"), "quality-enough")), "cell")
-    shapes = robust_shapes(fit, share, steps)
-    measured = placed.join(hinted(shapes), "cell", "left").withColumn("d2", distance() / F.col("scale"))
+    enough = cells.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least_rows).select("cell")
+    hint = cell_hint(enough)
+    fit = fit.join(enough.hint(hint), "cell")
+    shapes = robust_shapes(fit, share, steps, hint)
+    measured = placed.join(shapes.hint(hint), "cell", "left").withColumn("d2", distance() / F.col("scale"))
     far = F.coalesce(F.col("d2") > chi_square(trust, P), F.lit(False))
     return measured.select(
         "doc", *COUNTS, "base_failed", (~F.col("base_failed") & ~far).alias("kept"), "d2", *STATISTICS
