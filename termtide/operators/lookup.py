@@ -36,7 +36,10 @@ def month_series(merged: DataFrame) -> DataFrame:
 
 
 def newest_first(series: DataFrame) -> DataFrame:
-    return series.orderBy("phrase", F.desc(month_start(F.col("month"))))
+    """Rows of a phrase together, newest month first. Phrases come in no order: a global sort
+    would evaluate the lookup once more to sample it. A phrase has a row per month, no more."""
+    newest = F.desc(month_start(F.col("month")))
+    return series.repartition("phrase").sortWithinPartitions("phrase", newest)
 
 
 def user_table(users: DataFrame, extra: list[Column | str] | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 """The batch build: posts and accounts to the four published views."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,7 +9,7 @@ from ..operators.leaders import collect_leaders, pack, profiles_of, top_users, w
 from ..operators.terms import explode_hashtags, explode_ngrams, posts_in_language, with_words
 from ..operators.usage import usage_by_month, usage_by_user
 from ..session import drop_folder, new_folder, spread
-from ..sources.tables import ViewStore, keyed_by_month, write_table
+from ..sources.tables import View, ViewStore, keyed_by_month, write_table
 
 # View names by kind of term.
 BY_MONTH = {"ngram": "ngrams_by_month", "hashtag": "hashtags_by_month"}
@@ -50,24 +50,31 @@ def build_views(
     lang: str = "en", sizes: Sequence[int] = SIZES, k: int = 5,
     stop_words: Sequence[str] = STOP_WORDS, week_year: bool = False, counted: int | None = None,
 ) -> None:
-    """Overwrite all four views, or without ``users`` the two month views.
+    """Replace all four views, or without ``users`` the two month views, at once: readers see
+    the old ones until the last is written, and go on seeing them if the build fails.
 
     ``counted`` is the last counter batch whose posts are among ``posts``; it is stored with
-    the views, and lookups add later batches only.
+    the views, and lookups add later batches only. Without ``users``, top users published
+    before stay as they are.
 
     The cleaned words are written once, in the shared folder, and read by both n-gram
     jobs: cleaning costs more than reading the words back, and a lost executor then
     repeats only its own files.
     """
-    folder = new_folder(spark, "words")
+    folder, views = new_folder(spark, "words"), []
     try:
-        _build(spark, posts, users, store, folder, lang, sizes, k, stop_words, week_year)
-        store.set_mark(spark, counted)
+        for view in _written(posts, users, store, folder, lang, sizes, k, stop_words, week_year):
+            views.append(view)
+    except BaseException:
+        for view in views:
+            drop_folder(spark, view.path)
+        raise
     finally:
         drop_folder(spark, folder)
+    store.release(spark, views, counted)
 
 
-def _build(spark, posts, users, store, folder, lang, sizes, k, stop_words, week_year) -> None:
+def _written(posts, users, store, folder, lang, sizes, k, stop_words, week_year) -> Iterator[View]:
     kept = posts_in_language(spread(posts, "tweetid"), lang, week_year)
     words = write_table(with_words(kept, stop_words), folder)
     rows = {
@@ -75,8 +82,8 @@ def _build(spark, posts, users, store, folder, lang, sizes, k, stop_words, week_
         "hashtag": explode_hashtags(words.drop("words")),
     }
     for term in rows:
-        publish_month_view(store, rows[term], term)
+        yield store.write(usage_by_month(rows[term], term), BY_MONTH[term], term)
     if users is not None:
         profiles = profiles_of(users)
         for term in rows:
-            publish_top_users(store, rows[term], profiles, term, k)
+            yield store.write(packed_leaders(rows[term], profiles, term, k), TOP_USERS[term], term)

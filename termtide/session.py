@@ -37,6 +37,13 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, from the file system's listing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder)
+    return found.getLength()
+
+
 def settings(input_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[str, str]:
     """Session settings for an input of that many bytes on that many cores.
 

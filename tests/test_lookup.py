@@ -1,3 +1,4 @@
+import os
 import re
 
 import pytest
@@ -95,3 +96,39 @@ def test_files_per_bucket(spark, store, post):
     view = store.read(spark, "ngrams_by_month").drop("bucket")
     wide.publish(view, "ngrams_by_month", "ngram")
     assert sorted(wide.read(spark, "ngrams_by_month").drop("bucket").collect()) == sorted(view.collect())
+
+
+def test_layout_follows_the_measured_size():
+    store = ViewStore("x")
+    assert store.layout(1000, 8) == (1, 1)
+    assert store.layout(100 << 20, 8) == (8, 1)
+    assert store.layout(10 << 30, 8) == (40, 1)
+    assert store.layout(10 << 40, 8) == (1024, 40)
+
+
+def test_a_failed_build_leaves_the_views(spark, store, post, monkeypatch):
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(build, "packed_leaders", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        build.build_views(spark, post({"hashtags": ["fox"]}), users_of(spark, ("u1", None)), store, counted=3)
+    series, users = serve.lookup(spark, store, "#fox")
+    assert [r["count"] for r in series.collect()] == [1, 1] and users.count() == 2
+    assert store.mark(spark) is None
+    assert len(os.listdir(f"{store.root}/views")) == 4
+
+
+def test_old_views_go_after_the_next_release(spark, store, post):
+    began, _ = serve.lookup(spark, store, "#fox")
+    measured = ViewStore(store.root)
+    for counted in (0, 1):
+        build.build_views(spark, post({"hashtags": ["fox"]}), None, measured, counted=counted)
+        if counted == 0:
+            assert [r["count"] for r in began.collect()] == [1, 1]
+    assert store.mark(spark) == 1
+    assert [r["count"] for r in serve.lookup(spark, store, "#fox")[0].collect()] == [1]
+    # Two versions of both month views, one of the top users.
+    assert len(os.listdir(f"{store.root}/views")) == 6
+    with pytest.raises(LookupError):
+        store.open(spark, "nothing")
