@@ -375,12 +375,15 @@ def oracle_sql() -> dict[str, str]:
             "(row_number() over (order by rank) as rank) from info where hashtag = 'src1')",
         ),
         "lookup_series_ordered": (
-            PHRASES + ROUTED + POSTS + ROWS["hashtag"] + by_month("hashtag")
-        ).select(
+            PHRASES + ROUTED + POSTS + ROWS["ngram"] + by_month("ngram", name="by_ngram")
+            + step("hashtag_rows", HASHTAG_ROWS.steps[-1][1])
+            + by_month("hashtag", name="by_hashtag")
+        ).select(" union all ".join(
             "select phrase, tweet_month as month, row_number() over (partition by phrase "
             "order by strptime('01-' || tweet_month, '%d-%m-%Y') desc) as position, count "
-            "from routed join by_month on kind = 'hashtag' and term = hashtag"
-        ),
+            f"from routed join by_{k} on kind = '{k}' and term = {k}"
+            for k in ("ngram", "hashtag")
+        )),
         "lookup_merged": merged("hashtag", "left"),
         "lookup_after_rebuild": month_view(
             "hashtag",

@@ -11,7 +11,7 @@ from ..functions.accounts import created_on, language_name
 from ..operators import leaders, lookup, merge, terms, usage
 from ..plans import build, serve
 from ..schemas import MESSAGE_FIELDS, POST_TYPES, RAW_POST_COLUMNS, RAW_POST_SCHEMA
-from ..session import new_folder
+from ..session import join_hint, new_folder
 from ..sources import messages as msg
 from ..sources.posts import scan_posts_csv
 from ..sources.tables import ViewStore, drop_table, keyed_by_month, save_table, write_table
@@ -396,9 +396,14 @@ def lookup_many_users(spark, sf_dir):
 
 @query
 def lookup_series_ordered(spark, sf_dir):
-    tags = lookup.route(phrases(spark, sf_dir)).where(F.col("kind") == "hashtag")
-    months = QUERIES["hashtags_by_month"](spark, sf_dir).withColumnRenamed("hashtag", "term")
-    series = lookup.month_series(tags.join(months, "term"))
+    asked = lookup.route(phrases(spark, sf_dir))
+    asked = asked.hint(join_hint(asked))
+    found = [
+        QUERIES[f"{kind}s_by_month"](spark, sf_dir).withColumnRenamed(kind, "term")
+        .join(asked.where(F.col("kind") == kind), "term")
+        for kind in ("ngram", "hashtag")
+    ]
+    series = lookup.month_series(found[0].unionByName(found[1]))
     newest = Window.partitionBy("phrase").orderBy(F.desc(v.month_start(F.col("month"))))
     return lookup.newest_first(
         series.select("phrase", "month", F.row_number().over(newest).alias("position"), "count")
