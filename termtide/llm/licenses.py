@@ -1,17 +1,16 @@
-"""License notices, found by how well known wordings compress a line."""
+"""License notices, found by how well known wordings compress a stretch of words."""
 
 from __future__ import annotations
 
-import difflib
 import re
+from collections import Counter
+from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lines without any of these words are no candidates.
-CUES = r"(?i)licen[cs]|copyright|\(c\)|©|all rights|public domain|warrant|redistribut|copyleft"
 #: Common public notices, one wording each. Fixed values.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -41,28 +40,60 @@ def wording(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
-def differences(line: list[str], template: list[str]) -> tuple[list[str], list[str]]:
-    """Words of the template that the line lacks, and words that stand between those it has."""
-    missing, inside = [], []
-    steps = difflib.SequenceMatcher(None, template, line, autojunk=False).get_opcodes()
-    equal = [i for i, step in enumerate(steps) if step[0] == "equal"]
-    for i, (kind, a, b, c, d) in enumerate(steps):
-        if kind != "equal":
-            missing += template[a:b]
-            if equal and equal[0] < i < equal[-1]:
-                inside += line[c:d]
-    return missing, inside
+def cues_of(templates: dict[str, list[str]], share: float) -> dict[str, list[str]]:
+    """Words of each template, one more than it may lack: a notice has one of them at least.
+
+    Those in the fewest templates are taken, the longest first.
+    """
+    used = Counter(w for words in templates.values() for w in set(words))
+    return {
+        name: sorted(set(words), key=lambda w: (used[w], -len(w), w))[: int(share * len(words)) + 1]
+        for name, words in templates.items()
+    }
+
+
+def extended(template: tuple[str, ...], line: tuple[str, ...]) -> tuple[int, int, list[str], list[str]]:
+    """The fewest differences between a template and the start of a line, by a table of all prefixes:
+    their number, how many words of the line are taken, those missing and those inside.
+
+    Words of the line after the last equal one don't count.
+    """
+    cost = [list(range(len(line) + 1))]
+    ends = [(len(template), 0, 0)]
+    for a, word in enumerate(template, 1):
+        above, row = cost[-1], [a]
+        for b, other in enumerate(line, 1):
+            least = min(above[b], row[b - 1]) + 1
+            if word == other:
+                least = min(least, above[b - 1])
+                ends.append((least + len(template) - a, b, a))
+            row.append(least)
+        cost.append(row)
+    n, taken, a = min(ends)
+    b, missing, inside = taken, list(template[a:])[::-1], []
+    while a or b:
+        if a and b and template[a - 1] == line[b - 1] and cost[a][b] == cost[a - 1][b - 1]:
+            a, b = a - 1, b - 1
+        elif a and cost[a][b] == cost[a - 1][b] + 1:
+            a -= 1
+            missing.append(template[a])
+        else:
+            b -= 1
+            inside.append(line[b])
+    return n, taken, missing[::-1], inside[::-1]
 
 
 class Scanner:
-    """The templates as dictionaries of a compressor each."""
+    """The templates as word lists and as dictionaries of a compressor each."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], share: float):
         options = {"level": 19, "write_content_size": False}
         self.plain = zstandard.ZstdCompressor(**options)
-        self.known = [
-            (
-                name, wording(text),
+        self.words = {name: tuple(words) for name, text in templates.items() if (words := wording(text))}
+        self.most = {name: int(share * len(words)) for name, words in self.words.items()}
+        self.known = {
+            name: (
+                len(self.plain.compress(text.lower().encode())),
                 zstandard.ZstdCompressor(
                     dict_data=zstandard.ZstdCompressionDict(
                         text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
@@ -71,69 +102,112 @@ class Scanner:
                 ),
             )
             for name, text in templates.items()
-        ]
+        }
+        #: By cue word: template and place of the word in it.
+        self.cues: dict[str, list[tuple[str, int]]] = {}
+        for name, cues in cues_of(self.words, share).items():
+            for place, word in enumerate(self.words[name]):
+                if word in cues:
+                    self.cues.setdefault(word, []).append((name, place))
+        self.saved = lru_cache(1 << 16)(self.saved)
+        self.aligned = lru_cache(1 << 16)(self.aligned)
+
+    def saved(self, name: str, stretch: str) -> float:
+        """Bytes that the template saves of the compressed stretch, as a share of its own."""
+        data = stretch.encode()
+        size, tool = self.known[name]
+        return (len(self.plain.compress(data)) - len(tool.compress(data))) / size
+
+    def aligned(self, name: str, place: int, before: tuple[str, ...], after: tuple[str, ...]):
+        """(differences, words before, words after, missing, inside) around the template's word at
+        ``place``, or None if they are too many. The words before come last first."""
+        words, most = self.words[name], self.most[name]
+        if sum((Counter(words) & Counter((*before, words[place], *after))).values()) < len(words) - most:
+            return None
+        n, left, missing, inside = extended(words[:place][::-1], before)
+        if n > most:
+            return None
+        m, right, *rest = extended(words[place + 1 :], after)
+        return (n + m, left, right, missing[::-1] + rest[0], inside[::-1] + rest[1]) if n + m <= most else None
 
-    def best(self, line: str, least: float, share: float, looked_at: int = 4):
-        """(name, reduction, missing, inside) of the confirmed template, or None.
+    def notices(self, text: str, least: float):
+        """(first, end, name, saved, missing, inside) of every notice, in order of place; first and end
+        are character positions.
 
-        Templates are ranked by the share of the compressed size that they save; of the first few
-        that save ``least``, the one whose wording differs least wins if it differs in at most
-        ``share`` of its words.
+        A stretch of words is tried at every cue, wide enough for all that may stand inside, over
+        line ends. Every template that saves ``least`` and whose wording differs little enough is
+        confirmed; of those that overlap, the one with the fewest differences stays.
         """
-        data = " ".join(line.lower().split()).encode()
-        alone = len(self.plain.compress(data))
-        ranked = sorted(
-            ((1 - len(tool.compress(data)) / alone, name, words) for name, words, tool in self.known),
-            key=lambda x: (-x[0], x[1]),
-        )
-        own, found = wording(line), []
-        for saved, name, words in ranked[:looked_at]:
-            if saved >= least:
-                missing, inside = differences(own, words)
-                found.append((len(missing) + len(inside), -saved, name, missing, inside, len(words)))
-        if not found:
-            return None
-        n, saved, name, missing, inside, size = min(found)
-        return (name, -saved, missing, inside) if n <= share * size else None
+        spots = [(m.start(), m.end()) for m in _WORD.finditer(text)]
+        words = [text[a:b].lower() for a, b in spots]
+        found = {}
+        for i, word in enumerate(words):
+            for name, place in self.cues.get(word, ()):
+                most, size = self.most[name], len(self.words[name])
+                before = tuple(words[max(0, i - place - most) : i][::-1])
+                after = tuple(words[i + 1 : i + size - place + most])
+                if not (fit := self.aligned(name, place, before, after)):
+                    continue
+                n, left, right, missing, inside = fit
+                at = i - left, i + right + 1
+                if (name, *at) in found and found[name, *at][0] <= n:
+                    continue
+                first, end = spots[at[0]][0], spots[at[1] - 1][1]
+                saved = self.saved(name, " ".join(text[first:end].lower().split()))
+                if saved >= least:
+                    found[name, *at] = n, -saved, name, at, missing, inside
+        taken, out = bytearray(len(words)), []
+        for _, saved, name, (a, b), missing, inside in sorted(found.values()):
+            if not any(taken[a:b]):
+                taken[a:b] = b"\1" * (b - a)
+                out.append((spots[a][0], spots[b - 1][1], name, -saved, missing, inside))
+        return sorted(out, key=lambda x: x[:2])
 
 
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.1, share: float = 0.2,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per line that carries a license notice: id, line_no (from 0), license, reduction (share
-    of the compressed size saved), exact, missing and inside (differing words), line.
-
-    All lines of the whole text that hold a cue word are tried. A null or empty text has none;
-    a repeated row gives its rows again; a null id stays null; no rows of an empty table. Equal
-    rankings go to the fewer differences, then to the larger saving, then by name. Rows don't need
-    one another: there is no shuffle.
+    """One row per license notice: id, line_no (from 0) of its first line, license, reduction (bytes
+    saved of the compressed notice, as a share of the template's own compressed size), exact,
+    missing and inside (differing words), line (all lines it stands on).
+
+    A notice is a stretch of words, wherever lines end, that differs from a template in at most
+    ``share`` of the template's words. Every stretch of the whole text is tried that holds one of
+    the words of which a notice can't lack all. A null or empty text has none;
+    a repeated row gives its rows again; a null id stays null; no rows of an empty table. Of notices that
+    overlap the one with the fewest differences stays, then that with the larger saving, then by
+    name. Rows don't need one another: there is no shuffle.
     """
     templates = dict(templates or TEMPLATES)
-    lines = docs.select(
-        F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line")
-    ).where(F.col("line").rlike(CUES))
-    kind = lines.schema["id"].dataType.simpleString()
+    cues = sorted(Scanner(templates, share).cues)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
+        F.col("text").rlike("(?iu)" + "|".join(re.sub(r"\W", r"\\\g<0>", cue) for cue in cues))
+    )
+    kind = texts.schema["id"].dataType.simpleString()
 
     def scanned(batches):
-        scanner = Scanner(templates)
+        scanner = Scanner(templates, share)
         for batch in batches:
             rows = []
-            for i, line in enumerate(batch.column("line").to_pylist()):
-                if found := scanner.best(line, least, share):
-                    name, saved, missing, inside = found
-                    rows.append((i, name, round(saved, 6), not missing + inside, missing, inside))
-            at, *rest = zip(*rows) if rows else [()] * 6
-            kept = batch.take(pa.array(at, pa.int64()))
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                last = line_no = 0
+                for first, end, name, saved, missing, inside in scanner.notices(text, least):
+                    line_no += text.count("\n", last, first)
+                    last = first
+                    until = text.find("\n", end)
+                    line = text[text.rfind("\n", 0, first) + 1 : until if until >= 0 else len(text)]
+                    rows.append((i, line_no, name, round(saved, 6), not missing + inside, missing, inside, line))
+            at, *rest = zip(*rows) if rows else [()] * 8
             words = pa.list_(pa.string())
-            kinds = [pa.string(), pa.float64(), pa.bool_(), words, words]
+            kinds = [pa.int32(), pa.string(), pa.float64(), pa.bool_(), words, words, pa.string()]
             yield pa.RecordBatch.from_arrays(
-                [kept.column("id"), kept.column("line_no"), *map(pa.array, rest, kinds), kept.column("line")],
+                [batch.column("id").take(pa.array(at, pa.int64())), *map(pa.array, rest, kinds)],
                 ["id", "line_no", "license", "reduction", "exact", "missing", "inside", "line"],
             )
 
     words = "missing array<string>, inside array<string>"
-    return lines.mapInArrow(
+    return texts.mapInArrow(
         scanned,
         f"id {kind}, line_no int, license string, reduction double, exact boolean, {words}, line string",
     ).withColumnRenamed("id", id_col)

@@ -98,6 +98,48 @@ def test_licenses(docs):
     assert licenses.scan_licenses(docs()).count() == 0
 
 
+def test_licenses_wherever_lines_end(docs, prose):
+    mit = licenses.TEMPLATES["MIT (notice)"].split()
+    wrapped = "x\n" + "\n".join(" * " + " ".join(mit[i : i + 6]) for i in range(0, len(mit), 6)) + "\ny"
+    words = prose(3000, 3)
+    for name, text in licenses.TEMPLATES.items():
+        assert [n[2] for n in licenses.Scanner({name: text}, 0.2).notices(text, 0.1)] == [name]
+    long = [*words[:1500], "Released under the MIT License.", *words[1500:], "all rights RESERVED,", "w"]
+    bsd = licenses.TEMPLATES["BSD"].replace(" forms,", "\nshapes,").replace("source and", "source\n# and")
+    rows = docs((1, wrapped), (2, " ".join(long)), (3, bsd), (4, licenses.TEMPLATES["MIT (notice)"]))
+    got = [(r.doc_id, r.line_no, r.license, r.missing, r.inside, r.line) for r in licenses.scan_licenses(rows).collect()]
+    assert sorted(got) == [
+        (1, 1, "MIT (notice)", [], [], wrapped[2:-2]), (2, 0, "MIT", [], [], " ".join(long)),
+        (2, 0, "proprietary", [], [], " ".join(long)), (3, 0, "BSD", ["forms"], ["shapes"], bsd),
+        (4, 0, "MIT (notice)", [], [], licenses.TEMPLATES["MIT (notice)"]),
+    ]
+
+
+def test_licenses_by_brute_force():
+    import itertools
+    import random
+
+    def differences(stretch, template):
+        best = len(template)
+        for n in range(1, len(template) + 1):
+            for places in itertools.combinations(range(len(template)), n):
+                for at in itertools.combinations(range(len(stretch)), n):
+                    if all(template[p] == stretch[a] for p, a in zip(places, at)):
+                        best = min(best, len(template) - n + at[-1] - at[0] + 1 - n)
+        return best
+
+    for seed in range(150):
+        pick = random.Random(seed)
+        template = "a b c d e".split() if seed % 2 else "a b a c d".split()
+        line = [pick.choice("abcdexyz") for _ in range(3)]
+        line += [w for w in template if pick.random() < 0.9 for w in [w, *"q" * (pick.random() < 0.15)]]
+        least = differences(line, template)
+        found = licenses.Scanner({"t": " ".join(template)}, 0.4).notices(" ".join(line), -9.0)
+        assert bool(found) == (least <= 2), (line, template)
+        if found:
+            assert min(len(m) + len(i) for *_, m, i in found) == least
+
+
 def test_urls(spark):
     urls = {
         None: ("", "", None, "allow"), "": ("", "", None, "allow"), "no scheme/casino": ("", "", None, "allow"),
