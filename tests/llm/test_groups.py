@@ -232,6 +232,33 @@ def test_neighbours_share_a_window(docs, prose):
     check_packed(rows * 2, packing.pack_documents(docs(*rows, *rows), shard_bytes=3000).collect())
 
 
+def test_neighbours_share_a_shard(docs, prose):
+    topic = [prose(60, i) for i in range(40)]
+    common = prose(12, 99)
+    rows = [
+        (i, " ".join(random.Random(i).sample(topic[i % 40], 40) + random.Random(-i).sample(common, 8)))
+        for i in range(480)
+    ]
+    rows += [(1000 + i, None) for i in range(20)]
+    pieces = packing.pack_documents(docs(*rows), window=1024, shard_bytes=8000).collect()
+    check_packed(rows, pieces, 1024)
+    by_sequence, shards = defaultdict(set), set()
+    for p in pieces:
+        if p.doc_id < 1000:
+            by_sequence[p.sequence_id].add(p.doc_id % 40)
+            shards.add(p.sequence_id >> 32)
+    assert len(shards) > 15 and sum(map(len, by_sequence.values())) <= 2.2 * len(by_sequence)
+
+
+def test_a_hot_text_fills_no_shard(docs, prose):
+    same = " ".join(prose(50, 1))
+    rows = [(i, same if i % 3 else " ".join(prose(50, i))) for i in range(600)]
+    tokens = Counter()
+    for p in packing.pack_documents(docs(*rows), window=1024, shard_bytes=10_000).collect():
+        tokens[p.sequence_id >> 32] += p.length
+    assert len(tokens) > 20 and max(tokens.values()) <= 1.6 * sum(tokens.values()) / len(tokens)
+
+
 def test_pipeline(spark, small, documents):
     rows, kept = documents, [documents.count()]
     for _, stage in corpus_pipeline.STAGES[:-1]:
