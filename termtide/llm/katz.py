@@ -13,12 +13,14 @@ Without the one event more per history, one whose followers all came more than f
 are not discounted, would leave nothing for other words.
 
 Data flow: a scan cuts the texts into chunks, and sends each chunk's bigrams to partitions by
-their second word, as packed arrays with one entry per distinct bigram of the chunk and a short
-document number per occurrence. There lie all counts of a word; one job over them gathers the
+their second word, as packed arrays with one entry per distinct bigram of the chunk and, for each
+document that has it, a short document number and how often. There lie all counts of a word; one job over them gathers the
 counts of counts, a second one, over the same shuffle files, scores. What only a history knows
 goes on to partitions by history: (history, sums over its followers) and the few occurrences of
 bigrams that were never seen. Words so frequent that they would fill a partition are dealt out by
-both words; their total comes with the counts of counts. The list of them only steers the rows.
+both words; their total comes with the counts of counts. Bigrams so frequent themselves are dealt
+out by chunk and document as well; their totals come the same way, and every partition by history
+gets them from the model. The lists of both only steer the rows.
 """
 
 from __future__ import annotations
@@ -84,36 +86,89 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, history, np.arange(n).repeat(count)
 
 
-def frequent(texts: DataFrame, parts: int) -> np.ndarray:
-    """Words that are more than a fifth of a partition's share of all tokens; a few may be less.
+@dataclass
+class Hot:
+    """Bigrams so frequent that their documents are dealt out, in order of a hash of both words."""
+
+    key: np.ndarray
+    word: np.ndarray
+    history: np.ndarray
+
+    @staticmethod
+    def of(word: np.ndarray, history: np.ndarray) -> Hot:
+        key = pair_key(word, history)
+        _, at = np.unique(key, return_index=True)
+        return Hot(key[at], word[at], history[at])
+
+    def find(self, word: np.ndarray, history: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which bigrams are hot, and the place of each of those."""
+        hot = among(word, np.unique(self.word)) & among(history, np.unique(self.history))
+        some = np.flatnonzero(hot)
+        if not len(some):
+            return hot, some
+        word, history = word[some], history[some]
+        at = np.minimum(np.searchsorted(self.key, pair_key(word, history)), len(self.key) - 1)
+        hot[some] = same = (self.word[at] == word) & (self.history[at] == history)
+        return hot, at[same]
+
+
+def pair_key(word: np.ndarray, history: np.ndarray) -> np.ndarray:
+    return mixed(word ^ mixed(history))
 
-    Every piece of text reports words that are a sixteenth of that share in it, so a word that is
-    missing has less than that sixteenth anywhere it went unreported.
+
+def frequent(texts: DataFrame, parts: int) -> tuple[np.ndarray, Hot]:
+    """Words that are more than a fifth of a partition's share of all tokens, and bigrams that are
+    more than half of it; a few may be less.
+
+    Every piece of text reports words and bigrams that are a sixteenth of that share in it, so one
+    that is missing has less than that sixteenth anywhere it went unreported.
     """
+    none = np.zeros(0, np.uint64)
     if parts == 1:
-        return np.zeros(0, np.uint64)
+        return none, Hot(none, none, none)
 
     def counted(batches):
         for batch in batches:
             for piece in pieces(batch, "text", PIECE):
-                token, _, _ = tokens_of(piece.column("text"))
+                token, history, _ = tokens_of(piece.column("text"))
                 word, n = np.unique(token, return_counts=True)
                 many = n * 16 * parts >= len(token)
+                # Both words of such a bigram are as frequent.
+                names = np.append(word[many], START)
+                names.sort()
+                some = np.flatnonzero(among(token, names) & among(history, names))
+                token, history, size = token[some], history[some], len(token)
+                _, first, m = np.unique(pair_key(token, history), return_index=True, return_counts=True)
+                pairs = m * 16 * parts >= size
+                first, m = first[pairs], m[pairs]
+                words = np.concatenate((word[many], token[first], np.zeros(1, np.uint64)))
+                times = np.concatenate((n[many], m, [0]))
+                before = np.concatenate((np.zeros(many.sum(), np.uint64), history[first], np.zeros(1, np.uint64)))
+                both = np.arange(len(words)) < many.sum()
+                both[-1] = True
+                total = np.zeros(len(words), np.int64)
+                total[-1] = size
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.append(word[many].view(np.int64), 0)),
-                        pa.array(np.append(n[many], 0)), pa.array(np.append(n[many] * 0, len(token))),
+                        pa.array(words.view(np.int64)), pa.array(before.view(np.int64), mask=both),
+                        pa.array(times), pa.array(total),
                     ],
-                    ["word", "n", "total"],
+                    ["word", "history", "n", "total"],
                 )
 
-    sums = texts.select("text").mapInArrow(counted, "word bigint, n bigint, total bigint")
-    sums = sums.groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    sums = texts.select("text").mapInArrow(counted, "word bigint, history bigint, n bigint, total bigint")
+    sums = sums.groupBy("word", "history").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
     sums = sums.persist()
     total = sums.agg(F.sum("total")).first()[0] or 0
-    found = [r.word for r in sums.where(F.col("n") * 8 * parts >= total).where("n > 0").collect()]
+    least = F.when(F.col("history").isNull(), F.col("n") * 8 * parts).otherwise(F.col("n") * 2 * parts)
+    found = sums.where(least >= total).where("n > 0").select("word", "history").collect()
     sums.unpersist()
-    return np.sort(np.array(found, np.int64).view(np.uint64))
+    asarray = lambda x: np.array(x, np.int64).view(np.uint64)
+    pairs = [r for r in found if r.history is not None]
+    return (
+        np.unique(asarray([r.word for r in found])),
+        Hot.of(asarray([r.word for r in pairs]), asarray([r.history for r in pairs])),
+    )
 
 
 def among(x: np.ndarray, names: np.ndarray) -> np.ndarray:
@@ -122,7 +177,7 @@ def among(x: np.ndarray, names: np.ndarray) -> np.ndarray:
     return names[np.minimum(np.searchsorted(names, x), len(names) - 1)] == x
 
 
-def bigram_chunks(batches, parts: int, heavy: np.ndarray, folds: int, fold: int):
+def bigram_chunks(batches, parts: int, heavy: np.ndarray, hot: Hot, folds: int, fold: int):
     """(partition, packed bigrams) of chunk after chunk of a task's texts."""
     task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
 
@@ -134,11 +189,22 @@ def bigram_chunks(batches, parts: int, heavy: np.ndarray, folds: int, fold: int)
         dealt = token.copy()
         many = among(token, heavy)
         dealt[many] ^= mixed(history[many])
+        often, _ = hot.find(token, history)
+        # A few places for each chunk, so that a hot bigram's share follows the partitions'.
+        dealt[often] ^= mixed(np.uint64(task << 32 | number << 4) + (text[often] % 16).astype(np.uint64))
         part = (mixed(dealt) % np.uint64(parts)).astype(np.uint32)
+        # Texts come in order, and stay so within a bigram.
         order = np.lexsort((history, token, part))
+        del dealt, many, often
         part, token, history, text = part[order], token[order], history[order], text[order]
         new = np.ones(len(part), bool)
         new[1:] = (token[1:] != token[:-1]) | (history[1:] != history[:-1])
+        # One entry for each bigram of a document, and how often it has it.
+        entry = new.copy()
+        entry[1:] |= text[1:] != text[:-1]
+        place = np.flatnonzero(entry)
+        times = np.diff(place, append=len(part))
+        part, token, history, text, new = (x[place] for x in (part, token, history, text, new))
         known = np.array([i is not None for i in ids], bool)
         names = np.array([0 if i is None else i for i in ids], np.int64)
         flags = held_out(ids, folds, fold)
@@ -152,7 +218,7 @@ def bigram_chunks(batches, parts: int, heavy: np.ndarray, folds: int, fold: int)
             yield p, pack(
                 np.array([task, number], np.int64), names, known, flags,
                 np.diff(token[a:b][at], prepend=np.uint64(0)), history[a:b][at], narrow(repeats),
-                narrow(text[a:b]),
+                narrow(text[a:b]), narrow(times[a:b]),
             )
 
     for batch in batches:
@@ -168,11 +234,12 @@ def bigram_chunks(batches, parts: int, heavy: np.ndarray, folds: int, fold: int)
 
 @dataclass
 class Counts:
-    """The bigrams of one partition; per occurrence unless said otherwise."""
+    """The bigrams of one partition; per bigram of a document unless said otherwise."""
 
     chunks: list          # (key, ids, which ids are not null, held out) per chunk
     doc: np.ndarray       # document, numbered through all chunks
     pair: np.ndarray      # which distinct bigram
+    times: np.ndarray     # how often the document has it
     word: np.ndarray      # per distinct bigram
     history: np.ndarray   # per distinct bigram
     count: np.ndarray     # per distinct bigram, in training texts
@@ -186,32 +253,35 @@ class Counts:
 
 
 def counts_of(blobs) -> Counts | None:
-    chunks, token, history, repeats, text, base = [], [], [], [], [], 0
+    chunks, token, history, repeats, text, often, base = [], [], [], [], [], [], 0
     for blob in blobs:
-        key, names, known, flags, t, h, r, d = unpack(blob)
+        key, names, known, flags, t, h, r, d, n = unpack(blob)
         chunks.append((tuple(key.tolist()), names, known, flags))
         token.append(np.cumsum(t, dtype=np.uint64))
         history.append(h)
         repeats.append(r.astype(np.int64))
-        text.append(d.astype(np.int64) + base)
+        text.append(d.astype(np.int32) + np.int32(base))
+        often.append(n)
         base += len(names)
     if not chunks:
         return None
-    token, history, repeats, doc = map(np.concatenate, (token, history, repeats, text))
+    token, history, repeats, doc, times = map(np.concatenate, (token, history, repeats, text, often))
+    del text, often, blob, t, h, r, d, n
     order = np.lexsort((history, token))
     new = np.ones(len(order), bool)
     new[1:] = (np.diff(token[order]) != 0) | (np.diff(history[order]) != 0)
-    entry_pair = np.empty(len(order), np.int64)
+    entry_pair = np.empty(len(order), np.int32)
     entry_pair[order] = np.cumsum(new) - 1
     pair = entry_pair.repeat(repeats)
+    del entry_pair, repeats
     training = ~np.concatenate([c[3] for c in chunks])
     word, history = token[order][new], history[order][new]
-    count = np.bincount(pair[training[doc]], minlength=len(word))
+    count = np.bincount(pair, weights=times * training[doc], minlength=len(word)).astype(np.int64)
     first = np.ones(len(word), bool)
     first[1:] = word[1:] != word[:-1]
     word_at = np.cumsum(first) - 1
     word_count = np.bincount(word_at, weights=count).astype(np.int64)
-    return Counts(chunks, doc, pair, word, history, count, word_at, word[first], word_count)
+    return Counts(chunks, doc, pair, times, word, history, count, word_at, word[first], word_count)
 
 
 def tally(count: np.ndarray) -> np.ndarray:
@@ -219,8 +289,8 @@ def tally(count: np.ndarray) -> np.ndarray:
     return np.bincount(count[(count > 0) & (count <= K + 1)], minlength=K + 2)[1:]
 
 
-def statistics(blobs, heavy: np.ndarray):
-    """Counts of counts of words and bigrams, N, V, starts, and the frequent words' counts."""
+def statistics(blobs, heavy: np.ndarray, hot: Hot):
+    """Counts of counts of words and bigrams, N, V, starts, the frequent words' and bigrams' counts."""
     found = counts_of(blobs)
     if found is None:
         return
@@ -228,7 +298,9 @@ def statistics(blobs, heavy: np.ndarray):
     own = found.word_count[light]
     many = dict(zip(found.words[~light].tolist(), found.word_count[~light].tolist()))
     starts = int(found.count[found.history == START].sum())
-    yield tally(own), tally(found.count), int(found.count.sum()), int((own > 0).sum()), starts, many
+    often, at = hot.find(found.word, found.history)
+    pairs = narrow(at), found.count[often]
+    yield tally(own), tally(found.count[~often]), int(found.count.sum()), int((own > 0).sum()), starts, many, pairs
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -255,6 +327,8 @@ class Model:
     unknown: float     # probability of a word never seen
     heavy: np.ndarray
     heavy_count: np.ndarray
+    hot: Hot
+    hot_count: np.ndarray
 
     def word_counts(self, found: Counts) -> np.ndarray:
         count = found.word_count.copy()
@@ -263,25 +337,49 @@ class Model:
             count[many] = self.heavy_count[np.searchsorted(self.heavy, found.words[many])]
         return count
 
+    def pair_counts(self, found: Counts) -> tuple[np.ndarray, np.ndarray]:
+        """Of all texts, and which of the bigrams are hot."""
+        count = found.count.copy()
+        often, at = self.hot.find(found.word, found.history)
+        count[often] = self.hot_count[at]
+        return count, often
+
+    def hot_followers(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """History, count and the word's count of the hot bigrams seen."""
+        seen = self.hot_count > 0
+        return (
+            self.hot.history[seen], self.hot_count[seen],
+            self.heavy_count[np.searchsorted(self.heavy, self.hot.word[seen])],
+        )
+
     def log_word(self, count: np.ndarray) -> np.ndarray:
         seen = self.one[np.minimum(count, K + 1)] * np.maximum(count, 1) / (self.total + 1)
         return np.log10(np.where(count > 0, seen, self.unknown))
 
 
-def model_of(parts: list, heavy: np.ndarray) -> Model:
+def model_of(parts: list, heavy: np.ndarray, hot: Hot) -> Model:
     n1, n2 = np.zeros(K + 1, np.int64), np.zeros(K + 1, np.int64)
     total = types = 0
     many: dict[int, int] = {}
-    for a, b, n, v, _, some in parts:
+    hot_count = np.zeros(len(hot.key), np.int64)
+    for a, b, n, v, _, some, (at, times) in parts:
+        hot_count[at] += times
         n1, n2, total, types = n1 + a, n2 + b, total + n, types + v
         for word, count in some.items():
             many[word] = many.get(word, 0) + count
     heavy_count = np.array([many.get(int(w), 0) for w in heavy], np.int64)
-    n1 = n1 + tally(heavy_count)
+    n1, n2 = n1 + tally(heavy_count), n2 + tally(hot_count)
     types += int((heavy_count > 0).sum())
     one, two = discounts(n1), discounts(n2)
     less = sum(r * (1 - one[r]) * int(n1[r - 1]) for r in range(1, K + 1))
-    return Model(one, two, total, types, (1 + less) / (total + 1), heavy, heavy_count)
+    return Model(one, two, total, types, (1 + less) / (total + 1), heavy, heavy_count, hot, hot_count)
+
+
+def follower_columns(count: np.ndarray, word_count: np.ndarray) -> list[np.ndarray]:
+    """What a history sums over its followers."""
+    columns = [count, np.where(word_count > K, word_count, 0)]
+    columns += [(count == r).astype(np.int64) for r in range(1, K + 1)]
+    return columns + [(word_count == r).astype(np.int64) for r in range(1, K + 1)]
 
 
 def word_side(blobs, model: Model, histories: int, doc_parts: int):
@@ -291,31 +389,30 @@ def word_side(blobs, model: Model, histories: int, doc_parts: int):
         return
     words = model.word_counts(found)
     pair_word = words[found.word_at]
-    seen = found.count > 0
+    count, often = model.pair_counts(found)
+    seen = count > 0
     n_docs = found.starts[-1]
-    by_doc = lambda weight: np.bincount(found.doc, weights=weight[found.pair], minlength=n_docs)
+    by_doc = lambda weight: np.bincount(found.doc, weights=weight[found.pair] * found.times, minlength=n_docs)
     # The count of a word as history is its count as token; ends are no history, starts no token.
     before = np.where((found.word != END) & (pair_word > 0), np.log10(pair_word + 1.0), 0.0)
-    bigram = model.two[np.minimum(found.count, K + 1)] * np.maximum(found.count, 1)
+    bigram = model.two[np.minimum(count, K + 1)] * np.maximum(count, 1)
     score = by_doc(np.where(seen, np.log10(bigram), model.log_word(pair_word)) - before)
     base = by_doc(np.log10(pair_word + 1.0))
-    tokens = np.bincount(found.doc, minlength=n_docs)
+    tokens = np.bincount(found.doc, weights=found.times, minlength=n_docs).astype(np.int64)
     known = by_doc((pair_word > 0).astype(float)).astype(np.int64)
     for (key, names, there, flags), a, b in zip(found.chunks, found.starts[:-1], found.starts[1:]):
         yield histories + hash(key) % doc_parts, ("doc", key, pack(
             names, there, flags, score[a:b], base[a:b], narrow(tokens[a:b]), narrow(known[a:b]),
         ))
     # What histories need: their followers, and who met a bigram that was never seen.
-    chunk_of = np.searchsorted(found.starts, found.doc, side="right") - 1
     part = (mixed(found.history) % np.uint64(histories)).astype(np.int64)
-    order = np.lexsort((found.history[seen], part[seen]))
-    h, p = found.history[seen][order], part[seen][order]
-    c, w = found.count[seen][order], pair_word[seen][order]
+    own = seen & ~often
+    order = np.lexsort((found.history[own], part[own]))
+    h, p = found.history[own][order], part[own][order]
+    c, w = count[own][order], pair_word[own][order]
     first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, int)
     add = lambda x: np.add.reduceat(x, first) if len(first) else np.zeros(0, np.int64)
-    columns = [add(c), add(np.where(w > K, w, 0))]
-    columns += [add((c == r).astype(np.int64)) for r in range(1, K + 1)]
-    columns += [add((w == r).astype(np.int64)) for r in range(1, K + 1)]
+    columns = [add(x) for x in follower_columns(c, w)]
     h, p = h[first], p[first]
     edges = np.searchsorted(p, np.arange(histories + 1))
     odd = np.flatnonzero(~seen[found.pair])
@@ -331,10 +428,11 @@ def word_side(blobs, model: Model, histories: int, doc_parts: int):
             ))
         own = odd[odd_edges[q] : odd_edges[q + 1]]
         if len(own):
-            keys = np.array([c[0] for c in found.chunks], np.int64)[chunk_of[own]]
+            chunk = np.searchsorted(found.starts, found.doc[own], side="right") - 1
+            keys = np.array([c[0] for c in found.chunks], np.int64)[chunk]
             yield q, ("unseen", None, pack(
                 found.history[found.pair[own]], keys[:, 0], keys[:, 1],
-                narrow(found.doc[own] - found.starts[chunk_of[own]]),
+                narrow(found.doc[own] - found.starts[chunk]), found.times[own],
             ))
 
 
@@ -363,7 +461,9 @@ def history_side(rows, model: Model, starts: int):
             )
     if not odd:
         return
-    history, task, chunk, doc = (np.concatenate([x[i] for x in odd]) for i in range(4))
+    history, task, chunk, doc, times = (np.concatenate([x[i] for x in odd]) for i in range(5))
+    before, count, word_count = model.hot_followers()
+    followers.append([before, *follower_columns(count, word_count)])
     adjust = np.zeros(len(history))
     if followers:
         h, *columns = (np.concatenate([x[i] for x in followers]) for i in range(3 + 2 * K))
@@ -379,7 +479,7 @@ def history_side(rows, model: Model, starts: int):
         known = among(history, names)
         adjust[known] = change[np.searchsorted(names, history[known])]
     keys, at = np.unique(np.stack([task, chunk, doc.astype(np.int64)]), axis=1, return_inverse=True)
-    for (t, c, d), s in zip(keys.T.tolist(), np.bincount(at.ravel(), weights=adjust).tolist()):
+    for (t, c, d), s in zip(keys.T.tolist(), np.bincount(at.ravel(), weights=adjust * times).tolist()):
         yield t, c, d, None, False, 0, 0, 0.0, s
 
 
@@ -398,18 +498,18 @@ def score_texts(
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
-    heavy = frequent(texts, parts)
+    heavy, hot = frequent(texts, parts)
 
     def chunked(batches):
-        for p, blob in bigram_chunks(batches, parts, heavy, folds, fold):
+        for p, blob in bigram_chunks(batches, parts, heavy, hot, folds, fold):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p], pa.int32()), pa.array([blob], pa.binary())], ["part", "blob"]
             )
 
     chunks = texts.mapInArrow(chunked, "part int, blob binary").rdd.map(lambda r: (r[0], bytes(r[1])))
     by_word = chunks.partitionBy(parts, int)
-    found = by_word.mapPartitions(lambda rows: statistics((b for _, b in rows), heavy)).collect()
-    model, starts = model_of(found, heavy), sum(x[4] for x in found)
+    found = by_word.mapPartitions(lambda rows: statistics((b for _, b in rows), heavy, hot)).collect()
+    model, starts = model_of(found, heavy, hot), sum(x[4] for x in found)
     doc_parts = max(1, parts // 4)
     sides = by_word.mapPartitions(
         lambda rows: word_side((b for _, b in rows), model, parts, doc_parts)

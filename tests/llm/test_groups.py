@@ -177,6 +177,27 @@ def test_katz_by_brute_force(docs, documents, part_bytes):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+def test_hot_bigrams_are_dealt_out(docs, prose):
+    rows = [(i, "go on " * 20 + " ".join(prose(20, i)) if i % 3 else " ".join(prose(60, i))) for i in range(300)]
+    table = docs(*rows)
+    texts = table.selectExpr("doc_id as doc", "text")
+    heavy, hot = katz.frequent(texts, 12)
+    token, history, _ = katz.tokens_of(katz.pa.array(["go on go"]))
+    assert {*zip(token[1:3], history[1:3])} <= {*zip(hot.word, hot.history)}
+
+    def sizes(batches):
+        for p, blob in katz.bigram_chunks(batches, 12, heavy, hot, 7, 2):
+            yield katz.pa.RecordBatch.from_pylist([{"part": p, "n": len(katz.unpack(blob)[7])}])
+
+    entries = Counter()
+    for r in texts.mapInArrow(sizes, "part bigint, n bigint").collect():
+        entries[r.part] += r.n
+    assert sum(entries.values()) < 200 * 26 + 100 * 62 and max(entries.values()) < 2 * sum(entries.values()) / 12
+    got = katz.score_texts(table, part_bytes=sum(len(t) for _, t in rows) // 12).collect()
+    for a, b in zip(sorted(map(tuple, got)), sorted(plain_katz(rows)), strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
 def test_katz_without_training(docs):
     assert katz.score_texts(docs()).count() == 0
     out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
