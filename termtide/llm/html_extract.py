@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,12 +16,16 @@ _MARKUP = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)",
     re.S,
 )
+_HEAD_END = re.compile(r"</head\s*>|<body\b", re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _PART = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 #: Their content is not text of the page.
 SKIPPED = {"script", "style", "noscript", "template", "svg", "head", "title", "iframe", "object", "canvas",
            "textarea", "select", "math", "audio", "video"}
+#: What can stand in a head; anything else ends it.
+HEADED = {"base", "basefont", "bgsound", "link", "meta", "title", "style", "script", "noscript", "template",
+          "head", "html"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
         "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn",
@@ -52,6 +56,8 @@ NAME_COST = {
 BLOCK_COST = {"p": 1.0, "blockquote": 1.0, "pre": 1.0, "h1": 0.8, "h2": 0.6, "h3": 0.6, "li": -0.3}
 #: Strength of the edges between neighbours, and what a shared parent adds.
 NEXT, SIBLING = 0.5, 0.7
+#: An element with this share of a page's text is the page, whatever it is called.
+WHOLE = 0.9
 
 
 class Block:
@@ -62,11 +68,19 @@ class Block:
         self.parent, self.path = parent, path
 
 
-def element_cost(tag: str, attributes: str, inside: float) -> float:
-    """What an element adds to the log-odds of all in it; content cues don't undo others."""
+def element_cost(tag: str, attributes: str, inside: float, named: bool = True) -> float:
+    """What an element adds to the log-odds of all in it; content cues don't undo others.
+
+    Classes of html and body tell of the whole page. ``named``: whether the element's do of its text.
+    """
+    if tag in ("html", "body"):
+        return 0.0
     cost = TAG_COST.get(tag, 0.0)
     if tag == "header" and inside > 2:
         cost = -1.0
+    if attributes and not named:
+        # What hides it still counts, but not as a class.
+        attributes = _NAMES.sub("", attributes)
     if attributes:
         if _HIDDEN.search(attributes):
             cost -= 8.0
@@ -77,6 +91,21 @@ def element_cost(tag: str, attributes: str, inside: float) -> float:
     return cost
 
 
+def wholes(blocks: list[Block], elements: list[tuple[str, str, int]]) -> set[int]:
+    """Elements with nearly all of the page's text, unless the article or heading is outside."""
+    size, proper, heads = Counter(), Counter(), Counter()
+    for block in blocks:
+        inside = any(elements[e][0] in ("article", "main") for e in block.path)
+        for e in {-1, *block.path}:
+            size[e] += len(block.text)
+            proper[e] += inside
+            heads[e] += block.tag == "h1"
+    return {
+        e for e in size
+        if size[e] >= WHOLE * size[-1] and proper[e] == proper[-1] and (proper[e] or heads[e] or not heads[-1])
+    }
+
+
 def blocks_of(page: str) -> list[Block]:
     """Stretches of text between block elements, in page order, with where they lie.
 
@@ -84,9 +113,10 @@ def blocks_of(page: str) -> list[Block]:
     tag closes up to its element if that is open, and is ignored if not.
     """
     out: list[Block] = []
-    stack = [("html", 0.0, 0)]
+    stack = [("html", 0)]
+    elements = [("html", "", 0)]
     buffer: list[str] = []
-    links = at = made = 0
+    links = at = 0
     in_link = False
     skip = ""
 
@@ -95,9 +125,9 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join("".join(buffer).split())
         if text:
             place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), 0)
-            tag, prior, own = stack[place]
-            parent = stack[place - 1][2] if tag in BLOCK_COST and place else own
-            out.append(Block(text, links, tag, prior, parent, [s[2] for s in stack[: place + 1]]))
+            tag, own = stack[place]
+            parent = stack[place - 1][1] if tag in BLOCK_COST and place else own
+            out.append(Block(text, links, tag, 0.0, parent, [s[1] for s in stack[: place + 1]]))
         buffer.clear()
         links = 0
 
@@ -112,20 +142,25 @@ def blocks_of(page: str) -> list[Block]:
     for m in _MARKUP.finditer(page):
         if m.start() < at:
             continue
-        if not skip and m.start() > at:
-            say(page[at : m.start()])
+        if m.start() > at:
+            if skip and page[at : m.start()].strip():
+                skip = ""
+            if not skip:
+                say(page[at : m.start()])
         at = m.end()
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
         closing = bool(m[1] or m[4])
         if skip:
-            if closing and tag == skip or skip == "head" and tag == "body":
-                skip = ""
-                if closing:
-                    continue
-            else:
+            if closing or tag in HEADED:
+                if closing and tag == skip:
+                    skip = ""
+                elif not closing and tag in SKIPPED and tag != skip:
+                    end = re.compile(rf"</{tag}\s*>", re.I).search(page, at) or _HEAD_END.search(page, at)
+                    at = len(page) if not end else end.end() if end[0][2:].lower().startswith(tag) else end.start()
                 continue
+            skip = ""
         if tag not in INLINE:
             flush()
         if tag in SKIPPED:
@@ -155,12 +190,16 @@ def blocks_of(page: str) -> list[Block]:
                 in_link = False
             elif tag == "a":
                 in_link = True
-            made += 1
-            cost = element_cost(tag, m[3] or m[6] or "", stack[-1][1])
-            stack.append((tag, stack[-1][1] + cost, made))
-    if not skip and at < len(page):
+            elements.append((tag, m[3] or m[6] or "", stack[-1][1]))
+            stack.append((tag, len(elements) - 1))
+    if at < len(page) and not (skip and not page[at:].strip()):
         say(page[at:])
     flush()
+    whole, priors = wholes(out, elements), [0.0]
+    for i, (tag, attributes, parent) in enumerate(elements[1:], 1):
+        priors.append(priors[parent] + element_cost(tag, attributes, priors[parent], i not in whole))
+    for block in out:
+        block.prior = priors[block.path[-1]]
     return out
 
 

@@ -182,6 +182,28 @@ def test_pages_without_text(page):
     assert html_extract.main_text(page) == ""
 
 
+STORY = "<p>" + "A sentence of the story that is told here. " * 40 + "</p>"
+
+
+@pytest.mark.parametrize("opening", [
+    '<body class="single-post right-sidebar">', '<html class="has-header"><body id="search-results">',
+    '<body class="hidden">', '<body><div class="has-sidebar search">', '<head><title>T</title><meta charset="x">',
+    '<head><title>a <b> title</title><script>"<p>"</script>',
+])
+@pytest.mark.parametrize("story", [STORY, f"<article>{STORY}</article>"])
+def test_names_of_the_page_and_open_heads(opening, story):
+    assert html_extract.main_text(opening + story) == html_extract.main_text(STORY) != ""
+
+
+def test_heads_and_comments_stay_out():
+    assert html_extract.main_text("<head><title>T</title>" + STORY[3:-4]) == html_extract.main_text(STORY)
+    assert html_extract.main_text("<head><title>T<meta></head><body>" + STORY) == html_extract.main_text(STORY)
+    comments = f'<div id="comments">{STORY * 9}</div>'
+    page = f"<body><article><h1>One</h1>{STORY}</article>{comments}"
+    assert html_extract.main_text(page).count("story") == 40
+    assert html_extract.main_text(f'<div style="display:none">{STORY}</div>') == ""
+
+
 def test_long_page_is_whole():
     page = "<article>" + "".join(f"<p>Paragraph number {i} of many in this page.</p>" for i in range(3000)) + "</article>"
     assert html_extract.main_text(page).count("\n\n") == 2999
