@@ -73,6 +73,30 @@ def test_quality(docs, prose):
     assert quality.judge_quality(docs()).count() == quality.keep_good(docs()).count() == 0
 
 
+def test_verdicts_by_brute_force(docs, prose):
+    import numpy as np
+
+    rows = [(i, " ".join(prose(60 + i % 50, i))) for i in range(170)]
+    rows += [(200 + i, " ".join(w.upper() + "#!" * (i % 4) for w in prose(70, i))) for i in range(12)]
+    got = [r for r in quality.judge_quality(docs(*rows)).collect() if not r.base_failed]
+    values = np.array([[r[c] for c in quality.STATISTICS] for r in got])
+    floor = np.array(list(quality.STATISTICS.values()))
+    least = lambda x, share: np.sort(x, axis=0)[int(np.ceil(share * len(x))) - 1]
+    bucket = lambda d: np.floor(np.log2(np.maximum(d, 1e-6)) * 64)
+    centre = least(values, 0.5)
+    shape = np.diag(1 / np.hypot(1.4826 * least(np.abs(values - centre), 0.5), floor))
+    for _ in range(3):
+        far = bucket((((values - centre) @ shape.T) ** 2).sum(axis=1))
+        near = values[far <= least(far, 0.75)]
+        centre = near.mean(axis=0)
+        shape = np.linalg.inv(np.linalg.cholesky(np.cov(near.T, bias=True) + np.diag(floor**2)))
+    d2 = (((values - centre) @ shape.T) ** 2).sum(axis=1)
+    d2 /= max(2 ** ((least(bucket(d2), 0.5) + 1) / 64) / quality.chi_square(0.5, quality.P), 1)
+    assert [r.d2 for r in got] == pytest.approx(d2.tolist(), rel=1e-6)
+    assert [r.kept for r in got] == (d2 <= quality.chi_square(0.9998, quality.P)).tolist()
+    assert 0 < sum(r.kept for r in got) < len(got)
+
+
 def test_junk_goes_and_clean_stays(spark):
     folder = "/root/testdata/sf0.01"
     judged = quality.judge_quality(spark.read.parquet(f"{folder}/documents.parquet"))
