@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.llm import (
-    hnsw, html_extract, katz, licenses, line_dedup, mixing, near_dup, packing, quality, url_filter,
+    hnsw, html_extract, katz, licenses, line_dedup, mixing, near_dup, packing, quality, repeats, toxicity,
+    url_filter, whitening,
 )
 from termtide.llm.oracles import ORACLES  # noqa: F401
 
@@ -73,6 +74,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_texts(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", (~toxicity.not_held_out("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "flagged",
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = repeats.find_runs(table(spark, sf_dir, "documents"), rewrite=repeats.planted_places)
+    return repeats.digests(runs).withColumnRenamed("doc", "doc_id")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitening.by_component(whitened).withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_license_scan": op2_license_scan,
@@ -84,4 +104,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_mixing": op10_mixing,
+    "op11_toxicity": op11_toxicity,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_whitening": op13_whitening,
 }
