@@ -44,6 +44,46 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return found.getLength()
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, which readers see whole or not at all. Fails if there is one of that name."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    final, begun = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    system = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(begun, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if system.exists(final) or not system.rename(begun, final):
+        system.delete(begun, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    source = file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """The rows, evaluated once and kept in the shared folder: for a small table that several parts
+    of a plan need. Spark drops the files with the DataFrame where its cleaner is told to."""
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
+    return rows.checkpoint()
+
+
 def settings(input_bytes: int, cores: int, task_bytes: int = 128 << 20) -> dict[str, str]:
     """Session settings for an input of that many bytes on that many cores.
 

@@ -85,6 +85,22 @@ def test_one_term_reads_one_bucket(spark, store):
     assert "EqualTo(hashtag,fox)" in plan
 
 
+def test_terms_are_evaluated_once(spark, store):
+    """Terms from a table, through both kinds, the measured size and the buckets of the counters."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            asked.add(len(batch))
+            yield batch
+
+    terms = spark.createDataFrame([("#fox",), ("red fox",), ("nothing",)], "phrase string").coalesce(1)
+    terms = terms.mapInPandas(seen, "phrase string")
+    log = CounterLog(new_folder(spark, "counters"))
+    found = serve.lookup_series(spark, store, terms, log)
+    assert {r["phrase"] for r in found.collect()} == {"#fox", "red fox"} and asked.value == 3
+
+
 def test_layout_for_a_size():
     assert ViewStore.for_size("x", 1 << 20).buckets == 32
     big = ViewStore.for_size("x", 10 << 40)
