@@ -17,15 +17,17 @@ from ..functions.values import month_bucket
 from ..schemas import COUNTS
 
 
-def posts_in_language(posts: DataFrame, lang: str = "en", week_year: bool = False) -> DataFrame:
-    """Posts of one language that have a text and a time, with their month."""
+def posts_in_language(
+    posts: DataFrame, lang: str = "en", week_year: bool = False, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Posts of one language that have a text and a time, with their month, and the ``carried`` columns."""
     return posts.where(
         (F.col("tweet_language") == lang)
         & F.col("tweet_text").isNotNull()
         & F.col("tweet_time").isNotNull()
     ).select(
         month_bucket(F.col("tweet_time"), week_year).alias("tweet_month"),
-        "tweet_text", "userid", "hashtags", *COUNTS,
+        "tweet_text", "userid", "hashtags", *COUNTS, *carried,
     )
 
 
