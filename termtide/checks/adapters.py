@@ -14,6 +14,16 @@ from ..sources.posts import normalize_posts
 
 TABLES = ["documents", "orders", "customer", "nation", "benchmark"]
 
+# Accounts as they were appended over time: three versions each, none before 1995-03.
+ACCOUNT_VERSIONS = """
+select cast(c.c_custkey as string) as user_id,
+  timestamp '1995-03-01 00:00:00' + interval '1' day * (v.n * 700 + c.c_custkey % 300) as valid_from,
+  concat(c.c_name, '/', cast(v.n as string)) as user_display_name,
+  case when (c.c_custkey + v.n) % 4 = 0 then null
+       else concat(c.c_mktsegment, cast(v.n as string)) end as user_profile_description
+from {customer} c join (values (0), (1), (2)) as v(n) on c.c_custkey > v.n - 1
+"""
+
 # Every account language code and one that is not listed, by number.
 CODES = ", ".join(f"({i}, '{code}')" for i, code in enumerate([*LANGUAGES, "xx"]))
 
@@ -40,6 +50,19 @@ select cast(d.doc_id as string) as tweetid,
 from {{documents}} d join {{orders}} o on o.o_orderkey = d.doc_id
 """
 
+# A later snapshot of the same posts: some gone, some with another text, some with other counts.
+EDITED_POSTS = f"""
+select tweetid, userid, tweet_language,
+  case when cast(tweetid as bigint) % 5 = 1 then concat(tweet_text, ' corrected by its author later')
+       else tweet_text end as tweet_text,
+  tweet_time, tweet_client_name,
+  case when cast(tweetid as bigint) % 4 = 2 then null else quote_count end as quote_count,
+  reply_count,
+  like_count + case when cast(tweetid as bigint) % 9 = 4 then 7 else 0 end as like_count,
+  retweet_count, hashtags
+from ({POSTS.strip()}) p where cast(tweetid as bigint) % 7 <> 0
+"""
+
 USERS = """
 select cast(c.c_custkey as string) as user_id, c.c_name as user_display_name,
   lower(c.c_name) as user_screen_name,
@@ -143,6 +166,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed_posts(spark, sf_dir).withColumn("hashtags", parse_list(F.col("hashtags")))
 
 
+def edited_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, EDITED_POSTS).withColumn("hashtags", parse_list(F.col("hashtags")))
+
+
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, RAW_POSTS)
 
@@ -155,6 +182,10 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, USERS)
 
 
+def account_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, ACCOUNT_VERSIONS)
+
+
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, RAW_USERS)
 

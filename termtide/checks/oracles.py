@@ -75,6 +75,7 @@ def step(name: str, sql: str) -> Steps:
 POSTS = step("listed", for_oracle(adapters.POSTS)) + step(
     "posts", f"select * replace ({parsed_list('hashtags')} as hashtags) from listed"
 )
+EDITED_POSTS = step("listed", for_oracle(adapters.EDITED_POSTS)) + Steps(POSTS.steps[-1])
 USERS = step("users", for_oracle(adapters.USERS))
 RAW_POSTS = step("raw_posts", for_oracle(adapters.RAW_POSTS))
 RAW_USERS = step("raw_users", for_oracle(adapters.RAW_USERS))
@@ -117,6 +118,15 @@ HASHTAG_ROWS = ENGLISH + step(
 ROWS = {"ngram": ngram_rows(), "hashtag": HASHTAG_ROWS}
 
 
+# Uses of every n-gram, its words but the last and but the first.
+USES = step(
+    "uses",
+    "select *, len(string_split(ngram, ' ')) as size, array_to_string(string_split(ngram, ' ')[:-2], ' ') as front, "
+    "array_to_string(string_split(ngram, ' ')[2:], ' ') as back "
+    "from (select ngram, count(*) as count from ngram_rows group by ngram)",
+)
+
+
 def by_month(term: str, where: str = "true", name: str = "by_month", zero: bool = False) -> Steps:
     sums = SUMS
     if zero:
@@ -239,6 +249,66 @@ def stream_messages() -> Steps:
     )
 
 
+# Of the second part of a stream, what is 1000 days or more older than the newest of the first.
+LATE = (
+    "tweet_time <= (select max(tweet_time) from posts where cast(tweetid as bigint) % 3 = 0) "
+    "- interval 1000 day"
+)
+# A stream's last watermark; windows that end later are still open.
+CLOSED = (
+    "(select max(tweet_time) from posts where tweet_language = 'en' and tweet_text is not null) "
+    "- interval 800 day"
+)
+
+
+def counted_once() -> str:
+    """The first part whole, and of the second part what is not late."""
+    once = step("once", f"select * from posts where cast(tweetid as bigint) % 3 = 0 or not ({LATE})")
+    rows = [(n, s.replace("from posts", "from once")) for n, s in ROWS["ngram"].steps]
+    return (POSTS + once + Steps(*rows) + by_month("ngram", zero=True)).select("select * from by_month")
+
+
+def hashtag_windows() -> str:
+    """Each use lies in four windows; they begin on Thursdays, as the epoch did."""
+    return (
+        POSTS + step(
+            "uses",
+            f"select lower(unnest(hashtags)) as hashtag, tweet_time, {', '.join(COUNTS)} from posts "
+            "where tweet_language = 'en' and tweet_text is not null",
+        ) + step(
+            "placed",
+            "select *, time_bucket(interval 7 day, tweet_time, timestamp '1970-01-01') "
+            "- to_days(cast(7 * k as integer)) as opens from uses, range(4) as r(k) where hashtag <> ''",
+        )
+    ).select(
+        "select strftime(opens, '%Y-%m-%d %H:%M:%S') as window_start, "
+        "strftime(opens + interval 28 day, '%Y-%m-%d %H:%M:%S') as window_end, hashtag, count(*) as count, "
+        + ", ".join(f"cast(coalesce(sum({c}), 0) as bigint) as total_{c}" for c in COUNTS)
+        + f" from placed where opens + interval 28 day <= {CLOSED} group by opens, hashtag"
+    )
+
+
+def account_sessions() -> str:
+    whole = " + ".join(f"coalesce({c}, 0)" for c in COUNTS)
+    return (
+        POSTS + step(
+            "marked",
+            f"select userid, tweet_time, {whole} as engagement, "
+            "coalesce(tweet_time >= lag(tweet_time) over w + interval 45 day, true) as opens from posts "
+            "where tweet_language = 'en' and tweet_text is not null and userid is not null "
+            "window w as (partition by userid order by tweet_time)",
+        ) + step(
+            "numbered",
+            "select *, sum(cast(opens as integer)) over (partition by userid order by tweet_time) as session from marked",
+        )
+    ).select(
+        "select userid, strftime(min(tweet_time), '%Y-%m-%d %H:%M:%S') as session_start, "
+        "strftime(max(tweet_time) + interval 45 day, '%Y-%m-%d %H:%M:%S') as session_end, count(*) as posts, "
+        "cast(sum(engagement) as bigint) as total_engagement_count from numbered group by userid, session "
+        f"having max(tweet_time) + interval 45 day <= {CLOSED}"
+    )
+
+
 def text_query(expression: str, name: str) -> str:
     return POSTS.select(f"select tweetid, {expression} as {name} from posts")
 
@@ -343,6 +413,52 @@ def oracle_sql() -> dict[str, str]:
             "cast(sum(" + " + ".join(f"coalesce({c}, 0)" for c in COUNTS) + ") as bigint) "
             "as with_missing_as_zero from posts group by userid"
         ),
+        # Account versions, phrases and completions.
+        "profiles_as_of": (POSTS + step("versions", for_oracle(adapters.ACCOUNT_VERSIONS))).select(
+            "select tweetid, userid, strftime(tweet_time, '%Y-%m-%d %H:%M:%S') as tweet_time, tweet_client_name, "
+            "user_display_name, user_profile_description "
+            "from posts asof left join versions on userid = user_id and tweet_time >= valid_from"
+        ),
+        "maximal_phrases": (POSTS + ROWS["ngram"] + USES).select(
+            "select ngram, count from uses u where not exists (select 1 from uses h where h.count = u.count "
+            "and h.size = u.size + 1 and (h.front = u.ngram or h.back = u.ngram))"
+        ),
+        "collocations": (POSTS + ngram_rows([2]) + step(
+            "pairs",
+            "select split_part(ngram, ' ', 1) as word_1, split_part(ngram, ' ', 2) as word_2, "
+            "count(*) as count from ngram_rows group by all",
+        ) + step(
+            "margins",
+            "select *, cast(sum(count) over (partition by word_1) as bigint) as count_1, "
+            "cast(sum(count) over (partition by word_2) as bigint) as count_2, "
+            "cast(sum(count) over () as bigint) as total from pairs",
+        )).select(
+            "select *, round(2 * list_sum(list_transform([[count, count_1 * count_2 / total], "
+            "[count_1 - count, count_1 * (total - count_2) / total], "
+            "[count_2 - count, (total - count_1) * count_2 / total], "
+            "[total - count_1 - count_2 + count, (total - count_1) * (total - count_2) / total]], "
+            "lambda c: case when c[1] > 0 then c[1] * ln(c[1] / c[2]) else 0 end)), 4) as log_likelihood "
+            "from margins"
+        ),
+        "type_ahead": (POSTS + ROWS["ngram"] + USES + step(
+            "prefixes",
+            "select distinct left(word, 3) as prefix from "
+            f"(select unnest({content_words('text')}) as word from benchmark)",
+        )).select(
+            "select * from (select prefix, cast(row_number() over (partition by prefix order by count desc, ngram) "
+            "as integer) as place, ngram as term, count from prefixes join uses on starts_with(ngram, prefix)) where place <= 5"
+        ),
+        # Changes.
+        "top_users_after_delta": views("ngram", "select * from info"),
+        "views_after_retraction": (EDITED_POSTS + ROWS["ngram"] + by_month("ngram")).select(
+            "select * from by_month"
+        ),
+        "accounts_after_retraction": (EDITED_POSTS + ROWS["ngram"] + by_user("ngram")).select(
+            "select * from by_user"
+        ),
+        "leaders_after_retraction": (
+            EDITED_POSTS + USERS + ROWS["hashtag"] + leaders("hashtag")
+        ).select(f"select hashtag, userid, rank, count, {number_totals} from top"),
         # Lookups.
         "split_serving_key": month_view(
             "ngram",
@@ -394,6 +510,11 @@ def oracle_sql() -> dict[str, str]:
             POSTS + ROWS["hashtag"] + by_month("hashtag", STREAMED, "speed", zero=True)
         ).select("select * from speed"),
         "merge_views_full": merged("ngram", "full"),
+        "lookup_levelled_counters": (
+            PHRASES + ROUTED + POSTS + ROWS["ngram"] + by_month("ngram", zero=True)
+        ).select(
+            "select * from by_month where ngram in (select term from routed where kind = 'ngram')"
+        ),
         "lookup_many": (
             PHRASES + ROUTED + POSTS + ROWS["ngram"] + by_month("ngram", name="by_ngram")
             + step("hashtag_rows", HASHTAG_ROWS.steps[-1][1])
@@ -414,6 +535,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_ngram_counters": counters("ngram"),
         "stream_hashtag_counters": counters("hashtag"),
+        "stream_counted_once": counted_once(),
+        "stream_late_messages": POSTS.select(
+            f"select tweetid as message_id from posts where {LATE}"
+        ),
+        "stream_hashtag_windows": hashtag_windows(),
+        "stream_account_sessions": account_sessions(),
         "stream_dead_letter": stream_messages().select(
             "select reason, count(*) as messages from messages where reason is not null "
             "group by reason"

@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import values as v
 from ..functions.accounts import created_on, language_name
-from ..operators import leaders, lookup, merge, terms, usage
+from ..operators import leaders, lookup, merge, signed, terms, usage
+from ..operators import phrases as worth
+from ..operators.versions import as_of
 from ..plans import build, serve
+from ..plans.incremental import Totals, follow
+from ..plans.typeahead import TermIndex
 from ..schemas import MESSAGE_FIELDS, POST_TYPES, RAW_POST_COLUMNS, RAW_POST_SCHEMA
 from ..session import join_hint, new_folder
 from ..sources import messages as msg
 from ..sources.posts import scan_posts_csv
 from ..sources.tables import ViewStore, drop_table, keyed_by_month, save_table, write_table
 from ..sources.users import scan_users_csv, user_rejects, users_dimension
+from ..streaming import windows
 from ..streaming.counters import CounterLog, start_counting
 from ..streaming.messages import parse_messages
+from ..streaming.once import read_late, start_counting_once
 from . import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -332,6 +338,79 @@ def redact_hashed_users(spark, sf_dir):
     )
 
 
+# Changes.
+
+
+@query
+def top_users_after_delta(spark, sf_dir):
+    """Totals of some feeds, then the posts of the others: ranks of touched terms only are made again."""
+    posts, totals = adapters.posts(spark, sf_dir), Totals(new_folder(spark, "totals"))
+    late = F.col("tweet_client_name") >= "src5"
+    totals.build(posts.where(~late))
+    totals.apply(signed.added(posts.where(late)))
+    profiles = leaders.profiles_of(adapters.users(spark, sf_dir))
+    return leaders.with_profiles(totals.leaders(spark, "ngram"), profiles, "ngram")
+
+
+def _followed(spark, sf_dir) -> Totals:
+    """Totals of a snapshot that lacks some posts, brought to a later one."""
+    posts, totals = adapters.posts(spark, sf_dir), Totals(new_folder(spark, "totals"))
+    early = posts.where(F.col("tweetid").cast("bigint") % 6 != 0)
+    totals.build(early)
+    follow(totals, early, adapters.edited_posts(spark, sf_dir))
+    return totals
+
+
+@query
+def views_after_retraction(spark, sf_dir):
+    return _followed(spark, sf_dir).months(spark, "ngram")
+
+
+@query
+def accounts_after_retraction(spark, sf_dir):
+    return _followed(spark, sf_dir).accounts(spark, "ngram")
+
+
+@query
+def leaders_after_retraction(spark, sf_dir):
+    return _followed(spark, sf_dir).leaders(spark, "hashtag")
+
+
+# Account versions, phrases and completions.
+
+
+@query
+def profiles_as_of(spark, sf_dir):
+    """Posts with the profile that was valid at their time."""
+    posts = adapters.posts(spark, sf_dir).select("tweetid", "userid", "tweet_time", "tweet_client_name")
+    found = as_of(
+        posts, adapters.account_versions(spark, sf_dir), ["user_display_name", "user_profile_description"]
+    )
+    return found.withColumn("tweet_time", F.date_format("tweet_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def maximal_phrases(spark, sf_dir):
+    counts = write_table(worth.use_counts(rows_of(spark, sf_dir, "ngram")), new_folder(spark, "uses"))
+    return worth.maximal(counts)
+
+
+@query
+def collocations(spark, sf_dir):
+    found = worth.collocations(rows_of(spark, sf_dir, "ngram", [2]))
+    return found.withColumn("log_likelihood", F.round("log_likelihood", 4))
+
+
+@query
+def type_ahead(spark, sf_dir):
+    """The five most used phrases that begin with the first letters of each benchmark word."""
+    index = TermIndex(new_folder(spark, "index"), blocks=16)
+    index.write(worth.use_counts(rows_of(spark, sf_dir, "ngram")), "ngram")
+    items = terms.with_words(spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text"), text="text")
+    prefixes = items.select(F.explode("words").alias("word")).select(F.left("word", F.lit(3)).alias("prefix"))
+    return index.complete_many(prefixes, 5)
+
+
 # Lookups.
 
 
@@ -452,6 +531,17 @@ def lookup_after_rebuild(spark, sf_dir):
     return serve.lookup_series(spark, store, lookup.one_term(spark, "#src7"), log, "full")
 
 
+@query
+def lookup_levelled_counters(spark, sf_dir):
+    """Ten batches folded three by three; a table of terms, of which only their buckets are read."""
+    posts, log = adapters.posts(spark, sf_dir), CounterLog(new_folder(spark, "counters"))
+    for n in range(10):
+        log.add(posts.where(F.col("tweetid").cast("bigint") % 10 == n), n)
+        log.fold(spark, fanout=3)
+    wanted = lookup.route(phrases(spark, sf_dir)).where("kind = 'ngram'")
+    return log.read(spark, "ngram", wanted)
+
+
 # Stream.
 
 
@@ -520,3 +610,61 @@ def stream_dead_letter(spark, sf_dir):
     messages = posts.withColumn("value", whole).select(value.alias("value"))
     letters = _stream(spark, messages).read_dead_letters(spark)
     return letters.groupBy("reason").agg(F.count("*").alias("messages"))
+
+
+def _in_parts(spark, messages, parts, run) -> None:
+    """Append the messages of one part after the other, and restart the stream after each."""
+    path = new_folder(spark, "messages")
+    for part in parts:
+        msg.write_message_files(messages.where(part), path)
+        run(msg.file_messages(spark, path)).awaitTermination()
+
+
+def _counted_once(spark, sf_dir) -> CounterLog:
+    """Some posts first; then, after a restart, all posts, so that those come a second time."""
+    posts = _text_posts(spark, sf_dir)
+    messages = posts.select(F.to_json(F.struct(*posts.columns)).alias("value"), F.col("tweetid").cast("bigint").alias("n"))
+    log = CounterLog(new_folder(spark, "counters"))
+    _in_parts(
+        spark, messages, [F.col("n") % 3 == 0, F.lit(True)],
+        lambda source: start_counting_once(source, log, "1000 days", trigger={"availableNow": True}),
+    )
+    return log
+
+
+@query
+def stream_counted_once(spark, sf_dir):
+    return _counted_once(spark, sf_dir).read(spark, "ngram")
+
+
+@query
+def stream_late_messages(spark, sf_dir):
+    """What the watermark shut out: old posts of the second part."""
+    return read_late(spark, _counted_once(spark, sf_dir)).select("message_id")
+
+
+def _windows(spark, sf_dir, of) -> DataFrame:
+    """Posts in four parts by their time; half of each part comes with the next one."""
+    posts = _text_posts(spark, sf_dir)
+    year = F.year(F.col("tweet_time").cast("timestamp")) + (F.col("tweetid").cast("bigint") % 2)
+    messages = posts.select(F.to_json(F.struct(*posts.columns)).alias("value"), year.alias("n"))
+    table, checkpoint = new_folder(spark, "windows"), new_folder(spark, "checkpoint")
+    _in_parts(
+        spark, messages, [F.col("n") <= 1995, F.col("n") == 1996, F.col("n").between(1997, 1998), F.col("n") > 1998],
+        lambda source: windows.start_writing(
+            of(windows.timed_posts(source, "800 days")), table, checkpoint, {"availableNow": True}
+        ),
+    )
+    return spark.read.parquet(table)
+
+
+@query
+def stream_hashtag_windows(spark, sf_dir):
+    found = _windows(spark, sf_dir, lambda p: windows.term_windows(p, "hashtag", "28 days", "7 days"))
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
+
+
+@query
+def stream_account_sessions(spark, sf_dir):
+    found = _windows(spark, sf_dir, lambda p: windows.account_sessions(p, "45 days"))
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("session_start", "session_end")})
