@@ -181,6 +181,19 @@ def display_user() -> str:
     )
 
 
+# Parents of posts, and the chain of each one up to the last that is there.
+CASCADES = CLEAN_POSTS + step(
+    "parents",
+    "select p.tweetid, q.tweetid as up from posts p left join posts q on q.tweetid = "
+    "coalesce(p.retweet_tweetid, p.quoted_tweet_tweetid, p.in_reply_to_tweetid)",
+) + step(
+    "chains",
+    "select tweetid, tweetid as top, cast(0 as bigint) as depth from parents "
+    "union all select c.tweetid, p.up, c.depth + 1 from chains c join parents p on p.tweetid = c.top "
+    "where p.up is not null",
+) + step("roots", "select tweetid, arg_max(top, depth) as root, max(depth) as depth from chains group by tweetid")
+
+
 # The texts a list of phrases is made of: every two-word phrase of the benchmark items and
 # the hashtag of every document source.
 PHRASES = step(
@@ -309,6 +322,10 @@ def account_sessions() -> str:
     )
 
 
+def recursive(sql: str) -> str:
+    return sql.replace("with ", "with recursive ", 1)
+
+
 def text_query(expression: str, name: str) -> str:
     return POSTS.select(f"select tweetid, {expression} as {name} from posts")
 
@@ -448,6 +465,15 @@ def oracle_sql() -> dict[str, str]:
             "select * from (select prefix, cast(row_number() over (partition by prefix order by count desc, ngram) "
             "as integer) as place, ngram as term, count from prefixes join uses on starts_with(ngram, prefix)) where place <= 5"
         ),
+        "accounts_estimated": (POSTS + ROWS["hashtag"]).select(
+            "select hashtag, count(distinct userid) as accounts, true as close from hashtag_rows group by hashtag"
+        ),
+        "cascade_roots": recursive(CASCADES.select("select * from roots")),
+        "cascade_sums": recursive(CASCADES.select(
+            "select root, count(*) as posts, max(depth) as depth, "
+            + ", ".join(f"cast(sum({c}) as bigint) as total_{c}" for c in COUNTS)
+            + " from posts join roots using (tweetid) group by root"
+        )),
         # Changes.
         "top_users_after_delta": views("ngram", "select * from info"),
         "views_after_retraction": (EDITED_POSTS + ROWS["ngram"] + by_month("ngram")).select(

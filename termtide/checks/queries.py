@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import values as v
 from ..functions.accounts import created_on, language_name
-from ..operators import leaders, lookup, merge, signed, terms, usage
+from ..operators import cascades, leaders, lookup, merge, signed, sketches, terms, usage
 from ..operators import phrases as worth
 from ..operators.versions import as_of
 from ..plans import build, serve
@@ -411,6 +411,30 @@ def type_ahead(spark, sf_dir):
     return index.complete_many(prefixes, 5)
 
 
+@query
+def accounts_estimated(spark, sf_dir):
+    """Distinct accounts of each hashtag from sketches by month, of batch and stream; is the estimate close?"""
+    rows = rows_of(spark, sf_dir, "hashtag")
+    even = F.pmod(F.xxhash64("userid", "tweet_month"), F.lit(2)) == 0
+    both = [sketches.accounts_by_month(rows.where(c), "hashtag") for c in (even, ~even)]
+    found = sketches.estimated(sketches.merged(*both, keys=["hashtag"]))
+    exact = rows.groupBy("hashtag").agg(F.count_distinct("userid").alias("exact"))
+    close = F.abs(F.col("accounts") - F.col("exact")) <= sketches.BOUND * F.col("exact")
+    return exact.join(found, "hashtag").select("hashtag", F.col("exact").alias("accounts"), close.alias("close"))
+
+
+@query
+def cascade_roots(spark, sf_dir):
+    posts = adapters.clean_posts(spark, sf_dir)
+    return cascades.roots(posts)
+
+
+@query
+def cascade_sums(spark, sf_dir):
+    posts = adapters.clean_posts(spark, sf_dir)
+    return cascades.cascade_totals(posts, cascades.roots(posts))
+
+
 # Lookups.
 
 

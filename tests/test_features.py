@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from termtide.operators import phrases
+from termtide.operators import cascades, phrases, sketches
 from termtide.operators.versions import as_of
 from termtide.plans.typeahead import Fence, TermIndex
 from termtide.session import new_folder
@@ -143,3 +143,43 @@ def test_an_empty_index(spark):
     table.write(spark.createDataFrame([], "ngram string, count bigint"), "ngram")
     assert table.fences(spark) == [] and table.complete(spark, "a").isEmpty()
     assert table.complete_many(spark.range(1).select(F.lit("a").alias("prefix"))).isEmpty()
+
+
+def test_roots_by_brute_force(spark):
+    pick = random.Random(6)
+    up = {str(i): pick.choice([None, "", str(pick.randrange(130)), str(max(0, i - 1))]) for i in range(110)}
+    up |= {"200": "201", "201": "202", "202": "200", "203": "200", "204": "204", "205": "gone"}
+    up |= {str(1000 + i): str(999 + i) for i in range(1, 70)} | {"1000": None}
+    want = {}
+    for post in up:
+        at, seen = post, [post]
+        while up[at] and up[at] in up and up[at] not in seen:
+            at = up[at]
+            seen.append(at)
+        want[post] = (None, None) if up[at] and up[at] in seen else (at, len(seen) - 1)
+    rows = [(i, "", None, u, 1, i) for i, u in up.items()] + [(None, "", None, "1", 1, None)]
+    posts = spark.createDataFrame(
+        rows, "tweetid string, retweet_tweetid string, quoted_tweet_tweetid string, in_reply_to_tweetid string, like_count int, x string"
+    )
+    found = cascades.roots(posts)
+    assert {r.tweetid: (r.root, r.depth) for r in found.collect()} == want
+    assert cascades.roots(posts.limit(0)).isEmpty()
+    posts = posts.selectExpr("*", "1 as quote_count", "cast(null as int) as reply_count", "2 as retweet_count")
+    sizes = Counter(root for root, _ in want.values() if root)
+    got = {r.root: (r.posts, r.total_quote_count, r.total_reply_count) for r in cascades.cascade_totals(posts, found).collect()}
+    assert got == {root: (n, n, None) for root, n in sizes.items()}
+
+
+def test_sketches_merge(spark):
+    rows = spark.range(60_000).selectExpr(
+        "concat('t', id % 3) hashtag", "concat('0', 1 + id % 4, '-2017') tweet_month", "if(id % 11 = 0, null, cast(id % 20011 as string)) userid"
+    )
+    months = [sketches.accounts_by_month(rows.where(f"crc32(userid) % 2 = {k} or userid is null"), "hashtag") for k in (0, 1)]
+    exact = {r.hashtag: r.n for r in rows.groupBy("hashtag").agg(F.count_distinct("userid").alias("n")).collect()}
+    found = {r.hashtag: r.accounts for r in sketches.estimated(sketches.merged(*months, keys=["hashtag"])).collect()}
+    assert found.keys() == exact.keys() and all(abs(found[t] - n) <= sketches.BOUND * n for t, n in exact.items())
+    small = spark.createDataFrame(rows.limit(300).collect(), rows.schema)
+    few = sketches.estimated(sketches.accounts_by_month(small, "hashtag")).collect()
+    true = {(r.hashtag, r.tweet_month): r.n for r in small.groupBy("hashtag", "tweet_month").agg(F.count_distinct("userid").alias("n")).collect()}
+    assert {(r.hashtag, r.tweet_month): r.accounts for r in few} == true
+    assert sketches.merged(months[0].limit(0), keys=["hashtag"]).isEmpty()
