@@ -194,6 +194,32 @@ CASCADES = CLEAN_POSTS + step(
 ) + step("roots", "select tweetid, arg_max(top, depth) as root, max(depth) as depth from chains group by tweetid")
 
 
+# The two-state automaton month by month: costs of both states, and the states before them.
+BURSTS = POSTS + HASHTAG_ROWS + step(
+    "uses",
+    "select hashtag, datediff('month', date '1970-01-01', cast(tweet_time as date)) as m, count(*) as n "
+    "from (select hashtag, strptime('01-' || tweet_month, '%d-%m-%Y') as tweet_time from hashtag_rows) group by all",
+) + step(
+    "shares", "select hashtag, sum(n) / (select sum(n) from uses) as low from uses group by hashtag"
+) + step(
+    "months",
+    "select m, coalesce((select sum(n) from uses u where u.m = r.m), 0) as d "
+    "from range((select min(m) from uses), (select max(m) + 1 from uses)) as r(m)",
+) + step(
+    "grid",
+    "select s.hashtag, g.m - (select min(m) from uses) as i, "
+    "- coalesce(n, 0) * ln(low) - (d - coalesce(n, 0)) * ln(1 - low) as k0, "
+    "- coalesce(n, 0) * ln(greatest(low, least(2 * low, 0.5))) "
+    "- (d - coalesce(n, 0)) * ln(1 - greatest(low, least(2 * low, 0.5))) as k1 "
+    "from shares s cross join months g left join uses u on u.hashtag = s.hashtag and u.m = g.m",
+) + step(
+    "folded",
+    "select hashtag, i, k0 as c0, 1 + k1 as c1, '0' as p0, '1' as p1 from grid where i = 0 union all "
+    "select g.hashtag, g.i, least(c0, c1) + k0, least(c1, c0 + 1) + k1, "
+    "case when c0 <= c1 then p0 else p1 end || '0', case when c1 <= c0 + 1 then p1 else p0 end || '1' "
+    "from folded f join grid g on g.hashtag = f.hashtag and g.i = f.i + 1",
+)
+
 # The texts a list of phrases is made of: every two-word phrase of the benchmark items and
 # the hashtag of every document source.
 PHRASES = step(
@@ -468,6 +494,11 @@ def oracle_sql() -> dict[str, str]:
         "accounts_estimated": (POSTS + ROWS["hashtag"]).select(
             "select hashtag, count(distinct userid) as accounts, true as close from hashtag_rows group by hashtag"
         ),
+        "hashtag_bursts": recursive(BURSTS.select(
+            "select hashtag, strftime(date '1970-01-01' + to_months(cast((select min(m) from uses) as integer)), '%m-%Y') "
+            "as first_month, case when c0 <= c1 then p0 else p1 end as states, round(least(c0, c1), 4) as cost "
+            "from folded where i = (select max(i) from grid)"
+        )),
         "cascade_roots": recursive(CASCADES.select("select * from roots")),
         "cascade_sums": recursive(CASCADES.select(
             "select root, count(*) as posts, max(depth) as depth, "

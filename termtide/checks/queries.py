@@ -10,6 +10,7 @@ from ..functions import values as v
 from ..functions.accounts import created_on, language_name
 from ..operators import cascades, leaders, lookup, merge, signed, sketches, terms, usage
 from ..operators import phrases as worth
+from ..operators.bursts import burst_states
 from ..operators.versions import as_of
 from ..plans import build, serve
 from ..plans.incremental import Totals, follow
@@ -423,6 +424,12 @@ def accounts_estimated(spark, sf_dir):
     return exact.join(found, "hashtag").select("hashtag", F.col("exact").alias("accounts"), close.alias("close"))
 
 
+@query
+def hashtag_bursts(spark, sf_dir):
+    view = usage.usage_by_month(rows_of(spark, sf_dir, "hashtag"), "hashtag")
+    return burst_states(view, "hashtag").withColumn("cost", F.round("cost", 4))
+
+
 @query
 def cascade_roots(spark, sf_dir):
     posts = adapters.clean_posts(spark, sf_dir)

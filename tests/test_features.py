@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termtide.operators import cascades, phrases, sketches
+from termtide.operators.bursts import burst_states, bursts
 from termtide.operators.versions import as_of
 from termtide.plans.typeahead import Fence, TermIndex
 from termtide.session import new_folder
@@ -183,3 +184,35 @@ def test_sketches_merge(spark):
     true = {(r.hashtag, r.tweet_month): r.n for r in small.groupBy("hashtag", "tweet_month").agg(F.count_distinct("userid").alias("n")).collect()}
     assert {(r.hashtag, r.tweet_month): r.accounts for r in few} == true
     assert sketches.merged(months[0].limit(0), keys=["hashtag"]).isEmpty()
+
+
+def test_bursts_by_brute_force(spark):
+    """The cheapest of all state sequences."""
+    import itertools
+
+    pick = random.Random(7)
+    counts = {(t, m): pick.choice([0, 1, 3, 9 if t == "a" else 2]) for t in "abc" for m in range(9) if m != 4}
+    rows = [(f"{1 + (9 + m) % 12:02d}-{2016 + (9 + m) // 12}", t, n) for (t, m), n in counts.items() if n]
+    view = spark.createDataFrame(rows, "tweet_month string, hashtag string, count long")
+    # The series begins with the first month that has a use and ends with the last.
+    used = [m for (_, m), n in counts.items() if n]
+    months, total = range(min(used), max(used) + 1), sum(counts.values())
+    found = burst_states(view, "hashtag")
+    for r in found.collect():
+        low = sum(n for (t, _), n in counts.items() if t == r.hashtag) / total
+        rates = (low, max(low, min(2 * low, 0.5)))
+
+        def cost(states, term=r.hashtag, rates=rates):
+            out = sum(b > a for a, b in zip((0, *states), states)) * 1.0
+            for m, s in zip(months, states):
+                n, d = counts.get((term, m), 0), sum(counts.get((t, m), 0) for t in "abc")
+                out -= n * math.log(rates[s]) + (d - n) * math.log(1 - rates[s])
+            return out
+
+        best = min(itertools.product((0, 1), repeat=len(months)), key=cost)
+        assert r.cost == pytest.approx(cost(best)) and cost(tuple(map(int, r.states))) == pytest.approx(cost(best))
+    shown = spark.createDataFrame([("x", "11-2016", "0110010111"), ("y", "01-2017", "000"), ("z", "12-2017", "1")], "t string, first_month string, states string")
+    got = sorted(map(tuple, bursts(shown, "t").collect()))
+    assert got == [("x", "04-2017", 1), ("x", "06-2017", 3), ("x", "12-2016", 2), ("z", "12-2017", 1)]
+    alone = burst_states(spark.createDataFrame([("01-2017", "a", 5)], view.schema), "hashtag").collect()
+    assert [(r.states, r.cost) for r in alone] == [("0", 0.0)] and burst_states(view.limit(0), "hashtag").isEmpty()
