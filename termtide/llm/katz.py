@@ -14,10 +14,11 @@ are not discounted, would leave nothing for other words.
 
 Data flow: a scan cuts the texts into chunks, and sends each chunk's bigrams to partitions by
 their second word, as packed arrays with one entry per distinct bigram of the chunk and, for each
-document that has it, a short document number and how often. There lie all counts of a word; one job over them gathers the
+document that has it, a short document number and how often; a blob lists the documents it has, so what is sent follows the
+tokens, however many partitions there are. There lie all counts of a word; one job over them gathers the
 counts of counts, a second one, over the same shuffle files, scores. What only a history knows
 goes on to partitions by history: (history, sums over its followers) and the few occurrences of
-bigrams that were never seen. Words so frequent that they would fill a partition are dealt out by
+bigrams that were never seen; what documents add up to goes to partitions by chunk, as do their ids, once. Words so frequent that they would fill a partition are dealt out by
 both words; their total comes with the counts of counts. Bigrams so frequent themselves are dealt
 out by chunk and document as well; their totals come the same way, and every partition by history
 gets them from the model. The lists of both only steer the rows.
@@ -36,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termtide.llm.tables import give_back
 from termtide.llm.textscan import mixed, pieces, texts_of, words_of
 
 END, START = np.uint64(1), np.uint64(2)
@@ -43,7 +45,7 @@ END, START = np.uint64(1), np.uint64(2)
 K = 5
 PIECE = 1 << 20
 CHUNK_TOKENS = 1_500_000
-PART_BYTES = 24 << 20
+PART_BYTES = 16 << 20
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -178,7 +180,8 @@ def among(x: np.ndarray, names: np.ndarray) -> np.ndarray:
 
 
 def bigram_chunks(batches, parts: int, heavy: np.ndarray, hot: Hot, folds: int, fold: int):
-    """(partition, packed bigrams) of chunk after chunk of a task's texts."""
+    """(partition, ids?, packed) of chunk after chunk of a task's texts: the bigrams for each
+    partition, and, for one of them to pass on, the documents' ids and which are held out."""
     task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
 
     def flush():
@@ -208,17 +211,18 @@ def bigram_chunks(batches, parts: int, heavy: np.ndarray, hot: Hot, folds: int,
         known = np.array([i is not None for i in ids], bool)
         names = np.array([0 if i is None else i for i in ids], np.int64)
         flags = held_out(ids, folds, fold)
+        key = np.array([task, number, len(ids)], np.int64)
+        yield hash((task, number)) % parts, True, pack(key, names, known, flags)
         edges = np.searchsorted(part, np.arange(parts + 1))
-        for p in range(parts):
+        for p in np.flatnonzero(np.diff(edges)).tolist():
             a, b = edges[p], edges[p + 1]
-            if a == b:
-                continue
             at = np.flatnonzero(new[a:b])
             repeats = np.diff(at, append=b - a)
-            yield p, pack(
-                np.array([task, number], np.int64), names, known, flags,
+            present, local = np.unique(text[a:b], return_inverse=True)
+            yield p, False, pack(
+                key, narrow(np.diff(present, prepend=0)), flags[present],
                 np.diff(token[a:b][at], prepend=np.uint64(0)), history[a:b][at], narrow(repeats),
-                narrow(text[a:b]), narrow(times[a:b]),
+                narrow(local), narrow(times[a:b]),
             )
 
     for batch in batches:
@@ -230,14 +234,16 @@ def bigram_chunks(batches, parts: int, heavy: np.ndarray, hot: Hot, folds: int,
                 number, held, size = number + 1, [], 0
     if held:
         yield from flush()
+    held.clear()
+    give_back()
 
 
 @dataclass
 class Counts:
     """The bigrams of one partition; per bigram of a document unless said otherwise."""
 
-    chunks: list          # (key, ids, which ids are not null, held out) per chunk
-    doc: np.ndarray       # document, numbered through all chunks
+    chunks: list          # (task, number and documents of the chunk; documents here, held out) per chunk
+    doc: np.ndarray       # document, numbered through those of all chunks that are here
     pair: np.ndarray      # which distinct bigram
     times: np.ndarray     # how often the document has it
     word: np.ndarray      # per distinct bigram
@@ -255,14 +261,14 @@ class Counts:
 def counts_of(blobs) -> Counts | None:
     chunks, token, history, repeats, text, often, base = [], [], [], [], [], [], 0
     for blob in blobs:
-        key, names, known, flags, t, h, r, d, n = unpack(blob)
-        chunks.append((tuple(key.tolist()), names, known, flags))
+        key, present, flags, t, h, r, d, n = unpack(blob)
+        chunks.append((tuple(key.tolist()), np.cumsum(present, dtype=np.int64), flags))
         token.append(np.cumsum(t, dtype=np.uint64))
         history.append(h)
         repeats.append(r.astype(np.int64))
         text.append(d.astype(np.int32) + np.int32(base))
         often.append(n)
-        base += len(names)
+        base += len(present)
     if not chunks:
         return None
     token, history, repeats, doc, times = map(np.concatenate, (token, history, repeats, text, often))
@@ -274,7 +280,7 @@ def counts_of(blobs) -> Counts | None:
     entry_pair[order] = np.cumsum(new) - 1
     pair = entry_pair.repeat(repeats)
     del entry_pair, repeats
-    training = ~np.concatenate([c[3] for c in chunks])
+    training = ~np.concatenate([c[2] for c in chunks])
     word, history = token[order][new], history[order][new]
     count = np.bincount(pair, weights=times * training[doc], minlength=len(word)).astype(np.int64)
     first = np.ones(len(word), bool)
@@ -291,6 +297,7 @@ def tally(count: np.ndarray) -> np.ndarray:
 
 def statistics(blobs, heavy: np.ndarray, hot: Hot):
     """Counts of counts of words and bigrams, N, V, starts, the frequent words' and bigrams' counts."""
+    give_back()
     found = counts_of(blobs)
     if found is None:
         return
@@ -357,16 +364,25 @@ class Model:
         return np.log10(np.where(count > 0, seen, self.unknown))
 
 
-def model_of(parts: list, heavy: np.ndarray, hot: Hot) -> Model:
-    n1, n2 = np.zeros(K + 1, np.int64), np.zeros(K + 1, np.int64)
-    total = types = 0
-    many: dict[int, int] = {}
+def both(a: tuple | None, b: tuple | None) -> tuple | None:
+    """Statistics of two partitions or groups of them, added up."""
+    if a is None or b is None:
+        return b if a is None else a
+    sums = tuple(x + y for x, y in zip(a[:5], b[:5]))
+    few, many = sorted((a[5], b[5]), key=len)
+    many = dict(many)
+    for word, count in few.items():
+        many[word] = many.get(word, 0) + count
+    at, where = np.unique(np.concatenate((a[6][0], b[6][0])), return_inverse=True)
+    times = np.bincount(where, weights=np.concatenate((a[6][1], b[6][1])), minlength=len(at))
+    return *sums, many, (at, times.astype(np.int64))
+
+
+def model_of(found: tuple | None, heavy: np.ndarray, hot: Hot) -> Model:
+    none = np.zeros(K + 1, np.int64)
+    n1, n2, total, types, _, many, (at, times) = found or (none, none, 0, 0, 0, {}, (np.zeros(0, np.int64),) * 2)
     hot_count = np.zeros(len(hot.key), np.int64)
-    for a, b, n, v, _, some, (at, times) in parts:
-        hot_count[at] += times
-        n1, n2, total, types = n1 + a, n2 + b, total + n, types + v
-        for word, count in some.items():
-            many[word] = many.get(word, 0) + count
+    hot_count[at] = times
     heavy_count = np.array([many.get(int(w), 0) for w in heavy], np.int64)
     n1, n2 = n1 + tally(heavy_count), n2 + tally(hot_count)
     types += int((heavy_count > 0).sum())
@@ -383,8 +399,18 @@ def follower_columns(count: np.ndarray, word_count: np.ndarray) -> list[np.ndarr
 
 
 def word_side(blobs, model: Model, histories: int, doc_parts: int):
-    """(target, kind, packed) of what one partition knows of its bigrams and their documents."""
-    found = counts_of(blobs)
+    """(target, kind, packed) of what one partition knows of its bigrams and their documents, and
+    the ids it has to pass on."""
+    own = []
+    for is_ids, blob in blobs:
+        if is_ids:
+            key = unpack(blob)[0].tolist()
+            yield histories + hash(tuple(key[:2])) % doc_parts, ("ids", tuple(key), blob)
+        else:
+            own.append(blob)
+    give_back()
+    found = counts_of(own)
+    del own
     if found is None:
         return
     words = model.word_counts(found)
@@ -400,9 +426,9 @@ def word_side(blobs, model: Model, histories: int, doc_parts: int):
     base = by_doc(np.log10(pair_word + 1.0))
     tokens = np.bincount(found.doc, weights=found.times, minlength=n_docs).astype(np.int64)
     known = by_doc((pair_word > 0).astype(float)).astype(np.int64)
-    for (key, names, there, flags), a, b in zip(found.chunks, found.starts[:-1], found.starts[1:]):
-        yield histories + hash(key) % doc_parts, ("doc", key, pack(
-            names, there, flags, score[a:b], base[a:b], narrow(tokens[a:b]), narrow(known[a:b]),
+    for (key, present, _), a, b in zip(found.chunks, found.starts[:-1], found.starts[1:]):
+        yield histories + hash(key[:2]) % doc_parts, ("doc", key, pack(
+            narrow(np.diff(present, prepend=0)), score[a:b], base[a:b], narrow(tokens[a:b]), narrow(known[a:b]),
         ))
     # What histories need: their followers, and who met a bigram that was never seen.
     part = (mixed(found.history) % np.uint64(histories)).astype(np.int64)
@@ -419,6 +445,7 @@ def word_side(blobs, model: Model, histories: int, doc_parts: int):
     odd_part = part[found.pair[odd]]
     odd = odd[np.argsort(odd_part, kind="stable")]
     odd_edges = np.searchsorted(np.sort(odd_part), np.arange(histories + 1))
+    numbers = np.concatenate([c[1] for c in found.chunks])
     for q in range(histories):
         a, b = edges[q], edges[q + 1]
         if a < b:
@@ -432,12 +459,13 @@ def word_side(blobs, model: Model, histories: int, doc_parts: int):
             keys = np.array([c[0] for c in found.chunks], np.int64)[chunk]
             yield q, ("unseen", None, pack(
                 found.history[found.pair[own]], keys[:, 0], keys[:, 1],
-                narrow(found.doc[own] - found.starts[chunk]), found.times[own],
+                narrow(numbers[found.doc[own]]), found.times[own],
             ))
 
 
 def history_side(rows, model: Model, starts: int):
     """Partial sums (task, chunk, doc number, id or None, held out, tokens, known, base, score)."""
+    give_back()
     followers, odd, docs = [], [], {}
     for _, (kind, key, blob) in rows:
         x = unpack(blob)
@@ -445,12 +473,17 @@ def history_side(rows, model: Model, starts: int):
             followers.append([np.cumsum(x[0], dtype=np.uint64), *(y.astype(np.int64) for y in x[1:])])
         elif kind == "unseen":
             odd.append(x)
-        elif key in docs:
-            for i in range(3, 7):
-                docs[key][i] = docs[key][i] + x[i]
         else:
-            docs[key] = [*x[:5], x[5].astype(np.int64), x[6].astype(np.int64)]
-    for (task, chunk), (names, there, flags, score, base, tokens, known) in docs.items():
+            if key not in docs:
+                n = key[2]
+                docs[key] = [None, np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)]
+            if kind == "ids":
+                docs[key][0] = x[1:]
+            else:
+                at = np.cumsum(x[0], dtype=np.int64)
+                for sums, some in zip(docs[key][1:], x[1:]):
+                    sums[at] += some
+    for (task, chunk, _), ((names, there, flags), score, base, tokens, known) in docs.items():
         # Every text has one start, whose count no word's partition knows.
         score = score - np.log10(starts + 1.0) * (starts > 0)
         base = base - tokens * np.log10(model.total + model.types + 1)
@@ -501,18 +534,22 @@ def score_texts(
     heavy, hot = frequent(texts, parts)
 
     def chunked(batches):
-        for p, blob in bigram_chunks(batches, parts, heavy, hot, folds, fold):
+        for p, is_ids, blob in bigram_chunks(batches, parts, heavy, hot, folds, fold):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([p], pa.int32()), pa.array([blob], pa.binary())], ["part", "blob"]
+                [pa.array([p], pa.int32()), pa.array([is_ids]), pa.array([blob], pa.binary())], ["part", "ids", "blob"]
             )
 
-    chunks = texts.mapInArrow(chunked, "part int, blob binary").rdd.map(lambda r: (r[0], bytes(r[1])))
+    chunks = texts.mapInArrow(chunked, "part int, ids boolean, blob binary").rdd.map(lambda r: (r[0], (r[1], bytes(r[2]))))
     by_word = chunks.partitionBy(parts, int)
-    found = by_word.mapPartitions(lambda rows: statistics((b for _, b in rows), heavy, hot)).collect()
-    model, starts = model_of(found, heavy, hot), sum(x[4] for x in found)
+    counted = by_word.mapPartitions(
+        lambda rows: statistics((blob for _, (is_ids, blob) in rows if not is_ids), heavy, hot)
+    )
+    # In a tree, so that the driver gets few of the lists of frequent words.
+    found = counted.treeAggregate(None, both, both)
+    model, starts = model_of(found, heavy, hot), found[4] if found else 0
     doc_parts = max(1, parts // 4)
     sides = by_word.mapPartitions(
-        lambda rows: word_side((b for _, b in rows), model, parts, doc_parts)
+        lambda rows: word_side((x for _, x in rows), model, parts, doc_parts)
     ).partitionBy(parts + doc_parts, int)
     sums = sides.mapPartitions(lambda rows: history_side(rows, model, starts))
     fields = (

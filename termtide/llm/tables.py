@@ -1,5 +1,9 @@
 """Tables between the steps of an operator, and how small ones are joined."""
 
+import contextlib
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +25,30 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Python workers are used again and stay side by side, and each
+    would go on holding the most it ever had."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def hinted(rows: DataFrame) -> DataFrame:
     """A side of a join that is broadcast only if its values, measured, are small."""
     return rows.hint(join_hint(rows))
 
 
+def fresh(rows: DataFrame, *names: str) -> list[str]:
+    """The names, or ones like them, that no column of ``rows`` has, in any case."""
+    taken, out = {c.lower() for c in rows.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def with_columns(rows: DataFrame, added: dict) -> DataFrame:
     """``rows`` and the added columns; one of the same name, in any case, gives way."""
     taken = {name.lower() for name in added}
