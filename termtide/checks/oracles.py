@@ -462,9 +462,13 @@ def oracle_sql() -> dict[str, str]:
             "user_display_name, user_profile_description "
             "from posts asof left join versions on userid = user_id and tweet_time >= valid_from"
         ),
-        "maximal_phrases": (POSTS + ROWS["ngram"] + USES).select(
-            "select ngram, count from uses u where not exists (select 1 from uses h where h.count = u.count "
-            "and h.size = u.size + 1 and (h.front = u.ngram or h.back = u.ngram))"
+        "maximal_phrases": (POSTS + ROWS["ngram"] + USES + step(
+            "inside",
+            "select ngram, max(count) as most from (select front as ngram, count from uses where size > 2 "
+            "union all select back, count from uses where size > 2) group by ngram",
+        )).select(
+            "select u.ngram, count from uses u left join inside i on i.ngram = u.ngram "
+            "where most is null or most < count"
         ),
         "collocations": (POSTS + ngram_rows([2]) + step(
             "pairs",
@@ -489,7 +493,8 @@ def oracle_sql() -> dict[str, str]:
             f"(select unnest({content_words('text')}) as word from benchmark)",
         )).select(
             "select * from (select prefix, cast(row_number() over (partition by prefix order by count desc, ngram) "
-            "as integer) as place, ngram as term, count from prefixes join uses on starts_with(ngram, prefix)) where place <= 5"
+            "as integer) as place, ngram as term, count from prefixes join (select *, left(ngram, k) as start "
+            "from uses, range(1, 4) as r(k)) on start = prefix and length(prefix) = k) where place <= 5"
         ),
         "accounts_estimated": (POSTS + ROWS["hashtag"]).select(
             "select hashtag, count(distinct userid) as accounts, true as close from hashtag_rows group by hashtag"

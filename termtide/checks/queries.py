@@ -564,11 +564,11 @@ def lookup_after_rebuild(spark, sf_dir):
 
 @query
 def lookup_levelled_counters(spark, sf_dir):
-    """Ten batches folded three by three; a table of terms, of which only their buckets are read."""
+    """Five batches folded two by two; a table of terms, of which only their buckets are read."""
     posts, log = adapters.posts(spark, sf_dir), CounterLog(new_folder(spark, "counters"))
-    for n in range(10):
-        log.add(posts.where(F.col("tweetid").cast("bigint") % 10 == n), n)
-        log.fold(spark, fanout=3)
+    for n in range(5):
+        log.add(posts.where(F.col("tweetid").cast("bigint") % 5 == n), n)
+        log.fold(spark, fanout=2)
     wanted = lookup.route(phrases(spark, sf_dir)).where("kind = 'ngram'")
     return log.read(spark, "ngram", wanted)
 
