@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.tables import BLANKS, hinted, with_columns, written
+from termtide.llm.tables import BLANKS, fresh, hinted, written
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -30,8 +30,8 @@ def dedup_lines(
     always comes back as a string. A line's key is the line stripped of ASCII blanks with A-Z in
     lower case. A key of ``min_chars`` code points or more, found in ``min_docs`` ids or more, loses
     its lines everywhere but in the largest id that holds it, where all of them stay. Rows of one
-    id are one document. A null id is an id below all others. Other columns are kept; ones named
-    n_lines or n_dropped give way.
+    id are one document. A null id is an id below all others. Other columns are kept, whatever their
+    names; ones named n_lines or n_dropped give way.
 
     The exploded lines are written once as (id, text hash, position, line hash), without text. A
     hot line counts as one row per task and id; in the join that finds its places AQE can split it.
@@ -59,29 +59,19 @@ def dedup_lines(
         .groupBy("doc", "version")
         .agg(F.collect_list("at").alias("places"))
     )
-    rows = docs.withColumn("__version", F.xxhash64(text))
-    joined = rows.join(
-        dropped,
-        rows[f"`{id_col}`"].eqNullSafe(dropped["doc"]) & (rows["__version"] == dropped["version"]),
-        "left",
-    )
-    parts = F.split(text, "\n")
+    version, doc, of, at = fresh(docs, "version", "doc", "of", "places")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(doc)) & (F.col(version) == F.col(of))
+    joined = docs.withColumn(version, F.xxhash64(text)).join(dropped.toDF(doc, of, at), same, "left")
+    parts, places = F.split(text, "\n"), F.col(at)
     every = F.sequence(F.lit(0), F.size(parts) - 1)
-    kept = F.array_except(every, F.col("places"))
+    kept = F.array_except(every, places)
     again = F.array_join(F.transform(kept, lambda at: F.get(parts, at)), "\n")
-    whole = F.col("places").isNull()
-    result = with_columns(
-        joined,
-        {
-            "__text": F.when(whole, text).otherwise(again),
-            "n_lines": F.size(parts).cast("long"),
-            "n_dropped": F.when(whole, 0).otherwise(F.size(F.array_distinct("places"))).cast("long"),
-        },
-    )
+    whole = places.isNull()
     kept_names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
-    return result.select(
-        *(F.col("__text").alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_names),
-        "n_lines", "n_dropped",
+    return joined.select(
+        *(F.when(whole, text).otherwise(again).alias(c) if c == text_col else F.col(f"`{c}`") for c in kept_names),
+        F.size(parts).cast("long").alias("n_lines"),
+        F.when(whole, 0).otherwise(F.size(F.array_distinct(places))).cast("long").alias("n_dropped"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termtide.llm.tables import WORD, hinted, written
+from termtide.llm.tables import fresh, WORD, hinted, written
 
 HASH_BITS = 60
 LEVEL_BITS = 12
@@ -164,18 +164,19 @@ def mix(
     """
     sizes = written(sizes_of(docs, id_col, text_col, source_col), "mix-sizes")
     targets = written(targets_of(sizes, weights, most), "mix-targets")
+    of, whole, upto, n, one = fresh(docs, "of", "whole", "upto", "copies", "copy")
     plan = written(
         targets.join(
             thresholds_of(sizes, targets).select(F.col("source").alias("of"), "upto"),
             F.col("source").eqNullSafe(F.col("of")), "left",
-        ).select(F.col("source").alias("__of"), F.col("whole").alias("__whole"), F.col("upto").alias("__upto")),
+        ).select(F.col("source").alias(of), F.col("whole").alias(whole), F.col("upto").alias(upto)),
         "mix-plan",
     )
-    more = F.coalesce((hash_of(id_col) <= F.col("__upto")).cast("long"), F.lit(0))
-    copies = F.least(F.col("__whole") + more, F.lit(most)).cast("int")
-    rows = docs.join(hinted(plan), F.col(source_col).eqNullSafe(F.col("__of")))
+    more = F.coalesce((hash_of(id_col) <= F.col(upto)).cast("long"), F.lit(0))
+    copies = F.least(F.col(whole) + more, F.lit(most)).cast("int")
+    rows = docs.join(hinted(plan), F.col(f"`{source_col}`").eqNullSafe(F.col(of)))
     return (
-        rows.withColumn("__copies", copies).where("__copies > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        rows.withColumn(n, copies).where(F.col(n) > 0)
+        .withColumn(one, F.explode(F.sequence(F.lit(1), F.col(n))))
         .select(*(F.col(f"`{c}`") for c in docs.columns))
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.llm.components import components
-from termtide.llm.tables import hinted, written
+from termtide.llm.tables import fresh, hinted, written
 from termtide.llm.textscan import mixed, pieces, shingles_of, texts_of
 
 BANDS, ROWS = 42, 6
@@ -185,13 +185,8 @@ def block_links(members: DataFrame, percent: int) -> DataFrame:
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
         links = []
         for a, b in zip([0, *cuts], [*cuts, len(keys)]):
-            across = keys[a][1] != keys[a][2]
-            left = a + np.flatnonzero(side[a:b] == 0) if across else np.arange(a, b)
-            right = a + np.flatnonzero(side[a:b] == 1) if across else left
-            if not across:
-                # Pairs within the largest component need no look: compare the others with all.
-                names, size = np.unique(comp[left], return_counts=True)
-                left = left[comp[left] != names[size.argmax()]]
+            left = a + np.flatnonzero(side[a:b] == 1)
+            right = a + np.flatnonzero(side[a:b] == 0)
             for i, j in likely(sketch, comp, left, right):
                 if top(comp[i]) != top(comp[j]) and alike(sets[i], sets[j], percent):
                     parent[max(top(comp[i]), top(comp[j]))] = min(top(comp[i]), top(comp[j]))
@@ -226,6 +221,31 @@ def block_links(members: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(compared, "a bigint, b bigint").distinct()
 
 
+def blocks_of(inside: DataFrame) -> DataFrame:
+    """Where members of open buckets are compared: bucket, x, y, side, doc, component.
+
+    ``inside`` has bucket, size, doc and component. Members of a bucket's largest component are connected
+    already; only the others need a look at all members. All members are residents (side 0) of the
+    blocks (x, y) of their own x and every y, the others visitors (side 1) of those of their own y and every
+    x. So a block holds some two times BLOCK rows, and one odd document in a bucket of n makes
+    n + n / BLOCK of them.
+    """
+    sizes = inside.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    sizes = sizes.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", -F.col("component"))).alias("main"),
+        F.ceil(F.max("size") / BLOCK).cast("int").alias("xs"),
+        F.ceil((F.max("size") - F.max("n")) / BLOCK).cast("int").alias("ys"),
+    )
+    rows = inside.select("bucket", "doc", "component").join(hinted(written(sizes, "dup-sizes")), "bucket")
+    own = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    residents = rows.select("bucket", own("xs").alias("x"), every("ys").alias("y"), F.lit(0).alias("side"), "doc", "component")
+    visitors = rows.where("component <> main").select(
+        "bucket", every("xs").alias("x"), own("ys").alias("y"), F.lit(1).alias("side"), "doc", "component"
+    )
+    return residents.unionByName(visitors)
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -258,15 +278,10 @@ def near_duplicates(
     )
     leaders = members.where("doc = rep").select("doc", "f1", "f2").distinct()
     leading = known.join(hinted(leaders), ["doc", "f1", "f2"], "left_semi")
-    whole = Window.partitionBy("key").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    buckets = written(
-        leading.select("doc", F.explode("bands").alias("key"))
-        .select(
-            "key", "doc", F.min("doc").over(whole).alias("low"), F.max("doc").over(whole).alias("high"),
-        )
-        .where("low < high"),
-        "dup-buckets",
-    )
+    keyed = leading.select("doc", F.explode("bands").alias("key"))
+    # A hot bucket reaches the minimum as a row a task, and the join in parts that AQE cuts.
+    ends = keyed.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
+    buckets = written(keyed.join(hinted(written(ends, "dup-ends")), "key"), "dup-buckets")
     ends = F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("doc").alias("b")),
                              F.struct(F.col("doc").alias("a"), F.col("high").alias("b"))))
     pairs = buckets.select(ends.alias("p")).select("p.a", "p.b").where("a < b").distinct()
@@ -288,21 +303,13 @@ def near_duplicates(
     mixed_ = mixed_.groupBy("size", "mark", "first").agg(F.min("key").alias("bucket"))
     open_ = written(mixed_.select("bucket", "size"), "dup-open")
     if not open_.isEmpty():
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-        cells = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        inside = placed.join(hinted(open_), placed["key"] == open_["bucket"]).select(
-            "bucket", "doc", "component", blocks.alias("blocks")
-        )
-        inside = inside.withColumn("own", own).select("*", cells.alias("other"))
+        inside = blocks_of(placed.join(hinted(open_), placed["key"] == open_["bucket"]))
         inside = written(inside, "dup-blocks")
         ids = written(inside.select("doc").distinct(), "dup-ids")
         sets = full_sets(docs, ids, id_col, text_col, words)
         sets = sets.distinct().join(leading.select("doc", "sketch").distinct(), "doc")
         inside = inside.join(written(sets, "dup-sets").hint("merge"), "doc").select(
-            "bucket", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"), "doc", "component", "sketch",
-            "shingles",
+            "bucket", "x", "y", "side", "doc", "component", "sketch", "shingles"
         )
         stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(written(block_links(inside, percent).unionByName(stars), "dup-links"))
@@ -318,16 +325,16 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that `near_duplicates` keeps, each id once; null ids all stay."""
+    """The rows of ``docs`` that `near_duplicates` keeps, each id once; null ids all stay. Other
+    columns may have any names."""
     judged = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = judged.where("not kept").select("doc").distinct()
-    rows = docs.join(
-        hinted(written(gone, "dup-gone")), docs[f"`{id_col}`"].cast("long") == F.col("doc"), "left_anti"
-    )
-    again = judged.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc is not null")
-    again = written(again.select("doc"), "dup-again")
+    [doc] = fresh(docs, "doc")
+    gone = judged.where("not kept").select(F.col("doc").alias(doc)).distinct()
+    twice = F.col(f"`{id_col}`").cast("long") == F.col(doc)
+    rows = docs.join(hinted(written(gone, "dup-gone")), twice, "left_anti")
+    again = judged.groupBy(F.col("doc").alias(doc)).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = written(again.where(F.col(doc).isNotNull()).select(doc), "dup-again")
     if again.isEmpty():
         return rows
-    twice = docs[f"`{id_col}`"].cast("long") == F.col("doc")
     single = rows.join(hinted(again), twice, "left_anti")
     return single.unionByName(rows.join(hinted(again), twice, "left_semi").dropDuplicates([id_col]))

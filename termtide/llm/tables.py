@@ -47,10 +47,3 @@ def fresh(rows: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
-
-
-def with_columns(rows: DataFrame, added: dict) -> DataFrame:
-    """``rows`` and the added columns; one of the same name, in any case, gives way."""
-    taken = {name.lower() for name in added}
-    kept = [F.col(f"`{c}`") for c in rows.columns if c.lower() not in taken]
-    return rows.select(*kept, *(column.alias(name) for name, column in added.items()))

@@ -73,6 +73,22 @@ def test_groups_by_brute_force(docs, prose, monkeypatch, block):
     assert found_groups(docs(*rows), words=4) == plain_groups(rows, 4)
 
 
+@pytest.mark.parametrize("odd", [1, 30])
+def test_members_of_a_hot_bucket_are_placed_once(spark, odd):
+    """One component of 5,000 and some others in one bucket: few rows, and every pair meets."""
+    rows = [(1, 5000 + odd, i, 0 if i < 5000 else i) for i in range(5000 + odd)]
+    inside = spark.createDataFrame(rows, "bucket long, size long, doc long, component long")
+    placed = near_dup.blocks_of(inside).collect()
+    blocks = -(-(5000 + odd) // near_dup.BLOCK)
+    assert len(placed) == 5000 + odd + odd * blocks
+    met = defaultdict(lambda: (set(), set()))
+    for r in placed:
+        met[r.bucket, r.x, r.y][r.side].add(r.doc)
+    assert max(len(a) for a, _ in met.values()) < 2 * near_dup.BLOCK
+    pairs = {(v, u) for residents, visitors in met.values() for v in visitors for u in residents}
+    assert pairs == {(v, u) for v in range(5000, 5000 + odd) for u in range(5000 + odd)}
+
+
 def test_repeated_and_null_ids(docs, prose):
     a, b = " ".join(prose(50, 1)), " ".join(prose(50, 2))
     rows = docs((5, a), (5, b), (7, b), (8, a), (None, a), (5, a), (9, None))
@@ -186,8 +202,8 @@ def test_hot_bigrams_are_dealt_out(docs, prose):
     assert {*zip(token[1:3], history[1:3])} <= {*zip(hot.word, hot.history)}
 
     def sizes(batches):
-        for p, blob in katz.bigram_chunks(batches, 12, heavy, hot, 7, 2):
-            yield katz.pa.RecordBatch.from_pylist([{"part": p, "n": len(katz.unpack(blob)[7])}])
+        for p, is_ids, blob in katz.bigram_chunks(batches, 12, heavy, hot, 7, 2):
+            yield katz.pa.RecordBatch.from_pylist([{"part": p, "n": 0 if is_ids else len(katz.unpack(blob)[6])}])
 
     entries = Counter()
     for r in texts.mapInArrow(sizes, "part bigint, n bigint").collect():
@@ -198,6 +214,62 @@ def test_hot_bigrams_are_dealt_out(docs, prose):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
 
 
+def test_what_documents_cost_follows_tokens_not_partitions(prose):
+    """Bytes of a chunk's blobs, and of what is sent on for its documents, for few and many partitions."""
+    pick = random.Random(1)
+    rows = [(i, " ".join(prose(pick.randrange(50, 400), i))) for i in range(300)]
+    batch = katz.pa.RecordBatch.from_arrays(
+        [katz.pa.array([i for i, _ in rows]), katz.pa.array([t for _, t in rows])], ["doc", "text"]
+    )
+    none = np.zeros(0, np.uint64)
+    hot = katz.Hot(none, none, none)
+    model = katz.model_of(None, none, hot)
+    made = {}
+    for parts in (34, 340, 1258):
+        by_part, ids, sent, pairs = defaultdict(list), 0, 0, 0
+        for p, is_ids, blob in chunks_of(batch, parts, hot):
+            ids += is_ids
+            by_part[p].append((is_ids, blob))
+        for blobs in by_part.values():
+            for _, (kind, _, blob) in katz.word_side(blobs, model, parts, 8):
+                if kind == "doc":
+                    columns = katz.unpack(blob)
+                    pairs += len(columns[0])
+                    sent += sum(len(c) * c.itemsize for c in columns)
+        tokens = sum(len(t.split()) + 1 for _, t in rows)
+        assert ids == 1 and pairs <= tokens and sent <= 21 * tokens
+        made[parts] = pairs
+    # Dense sums would have been 300 a partition.
+    assert made[1258] < 0.5 * 300 * 1258 and made[1258] <= 9 * made[34]
+
+
+def chunks_of(batch, parts, hot):
+    from unittest.mock import patch
+
+    with patch.object(katz, "TaskContext") as context:
+        context.get.return_value.partitionId.return_value = 0
+        yield from katz.bigram_chunks([batch], parts, np.zeros(0, np.uint64), hot, 7, 2)
+
+
+def test_statistics_add_up_in_any_order():
+    def part(seed):
+        pick = np.random.default_rng(seed)
+        at = np.unique(pick.integers(0, 9, 5))
+        return (
+            pick.integers(0, 9, 6), pick.integers(0, 9, 6), seed, 2, 1, {int(k): 1 + seed for k in pick.integers(0, 5, 3)},
+            (at, pick.integers(1, 5, len(at))),
+        )
+
+    parts = [part(i) for i in range(5)]
+    one = None
+    for p in parts:
+        one = katz.both(one, p)
+    two = katz.both(katz.both(parts[3], parts[1]), katz.both(katz.both(parts[4], None), katz.both(parts[0], parts[2])))
+    for a, b in zip(one[:5], two[:5]):
+        assert np.array_equal(a, b)
+    assert one[5] == two[5] and all(np.array_equal(a, b) for a, b in zip(one[6], two[6]))
+
+
 def test_katz_without_training(docs):
     assert katz.score_texts(docs()).count() == 0
     out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
@@ -243,6 +315,69 @@ def test_packing(docs, documents):
     assert packing.pack_documents(docs()).count() == 0
 
 
+ODD = [
+    "a<|endoftext|>b <|ENDOFTEXT|> <|endoftext|>. x|y. A.b,c ... hi?! don't. \u00e9. 1.2.3, \u2026. (x).  z. \u00dcn\u00ef?", None, "",
+    "ABC abc. ABC; 3.! .", "!", "caf\u00e9's, CAF\u00c9.", "a" * 3000 + ".",
+    "caf\u00e9 cafe\u0301 na\u00efve \u00c0 la \u00df\u00e0\u00ed\u00f0\u00ff \u0153uvre \u0130stanbul \u01c6 \u03a3\u03a3 \u4e2d\u6587 \u0141\u00f3d\u017a \u00aa \u00b5m",
+]
+
+
+def test_ids_are_the_tokenizers(documents, monkeypatch):
+    """Words tokenised once and remembered, or forgotten after each call."""
+    tool = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ODD + [r.text for r in documents.limit(60).collect()]
+    want = [tool.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    for most in (packing.REMEMBERED, 50):
+        monkeypatch.setattr(packing, "REMEMBERED", most)
+        packing._known.clear()
+        for a, b in ((0, 5), (3, 60), (20, len(texts))):
+            ids, bags = packing.token_ids(katz.pa.array(texts[a:b]), packing.default_tokenizer())
+            assert [x.tolist() for x in ids] == want[a:b] and len(bags) == b - a
+    assert packing.token_ids(katz.pa.array([], katz.pa.string()), packing.default_tokenizer()) == ([], [])
+
+
+def plain_bm25(bags, query, k1=1.2, b=0.75):
+    n, mean = len(bags), sum(map(len, bags)) / len(bags)
+    held = Counter(w for bag in bags for w in set(bag))
+    out = []
+    for bag in bags:
+        times, score = Counter(bag), 0.0
+        for w in set(bags[query]):
+            idf = math.log((n - held[w] + 0.5) / (held[w] + 0.5))
+            if idf > 0 and held[w] > 1 and times[w]:
+                score += idf * times[w] * (k1 + 1) / (times[w] + k1 * (1 - b + b * len(bag) / mean))
+        out.append(score)
+    return out
+
+
+def test_bm25_by_brute_force(prose):
+    pick = random.Random(8)
+    for turn in range(6):
+        vocabulary = prose(60, turn)
+        bags = [[pick.choice(vocabulary) for _ in range(pick.randrange(1, 30))] for _ in range(40)]
+        names = {w: i for i, w in enumerate(sorted({w for bag in bags for w in bag}))}
+        numbered = [np.array([names[w] for w in bag]) for bag in bags]
+        index = packing.Index(numbered)
+        for q in range(len(bags)):
+            assert index.scores(q) == pytest.approx(plain_bm25(bags, q))
+        # Greedy filling: the best unused neighbour of the seed each time, ties to the first.
+        size, unused, seeds = [pick.randrange(5, 40) for _ in bags], set(range(40)), set()
+        for now in packing.filled(size, numbered, 64):
+            (seed, start, end), *rest = now
+            seeds.add(seed)
+            unused.discard(seed)
+            room = 64 - (end - start)
+            scores = plain_bm25(bags, seed)
+            for tail, start, end in rest:
+                best = max(scores[t] for t in unused)
+                if best > 0:
+                    assert scores[tail] == pytest.approx(best)
+                assert start == 0 and end == min(room, size[tail])
+                room -= end
+                unused.discard(tail)
+            assert room == 0 or not unused
+
+
 def test_neighbours_share_a_window(docs, prose):
     topic = [prose(60, i) for i in range(8)]
     rows = [(i, " ".join(random.Random(i).sample(topic[i % 8], 55))) for i in range(64)]

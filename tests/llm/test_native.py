@@ -6,7 +6,7 @@ from collections import defaultdict
 import check
 import pytest
 
-from termtide.llm import line_dedup, mixing, queries
+from termtide.llm import line_dedup, mixing, near_dup, quality, queries
 
 LINE = "This line is long enough to count."
 
@@ -77,6 +77,32 @@ def test_larger_budget_holds_the_smaller(docs):
     assert less < more
 
 
+#: Names that the operators use themselves, in some case.
+TAKEN = "doc version of places upto whole copies copy at key keeper Doc_ __version __of __upto __copy __copies __text n component".split()
+
+
+def test_any_names_of_other_columns(spark):
+    text = "\n".join(["one two three four five six", LINE])
+    rows = [
+        (i, f"{text}\n{i % 2} tail" if i else None, "a" if i % 2 else None, "s", *[f"{n}{i}" for n in TAKEN]) for i in range(6)
+    ]
+    columns = ", ".join(f"`{n}` string" for n in TAKEN)
+    table = spark.createDataFrame(rows, f"doc_id bigint, text string, source string, lang string, {columns}")
+
+    def untouched(found):
+        assert found.columns[: len(table.columns)] == table.columns
+        got = found.collect()
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in TAKEN)
+        return got
+
+    assert untouched(mixing.mix(table))
+    lines = untouched(line_dedup.dedup_lines(table))
+    assert sorted((r.doc_id, r.n_dropped) for r in lines) == [(i, 2 if 0 < i < 5 else 0) for i in range(6)]
+    untouched(line_dedup.drop_shared_lines(table))
+    assert untouched(near_dup.keep_one(table))
+    untouched(quality.keep_good(table))
+
+
 def test_empty(docs):
     assert line_dedup.dedup_lines(docs()).count() == mixing.mix_sizes(docs()).count() == mixing.mix(docs()).count() == 0
 
