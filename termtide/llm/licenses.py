@@ -32,6 +32,28 @@ TEMPLATES = {
     "rights to this work. CC0 1.0 Universal.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "proprietary": "All rights reserved.",
+    "MIT (text)": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+    "and associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+    "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies "
+    "of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+    "conditions: The above copyright notice and this permission notice shall be included in all copies or substantial "
+    "portions of the Software.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "BSD (text)": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the above "
+    "copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+    "reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution.",
+    "Apache-2.0 (header)": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
+    "file except in compliance with the License. You may obtain a copy of the License at "
+    "http://www.apache.org/licenses/LICENSE-2.0",
+    "GPL-3.0 (header)": "This program is free software: you can redistribute it and/or modify it under the terms of "
+    "the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, "
+    "or (at your option) any later version.",
+    "GPL-2.0 (header)": "This program is free software; you can redistribute it and/or modify it under the terms of "
+    "the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, "
+    "or (at your option) any later version.",
 }
 _WORD = re.compile(r"[\w.+-]*\w")
 
@@ -103,12 +125,12 @@ class Scanner:
             )
             for name, text in templates.items()
         }
-        #: By cue word: template and place of the word in it.
-        self.cues: dict[str, list[tuple[str, int]]] = {}
+        #: By cue word: templates, and the word's places in each.
+        self.cues: dict[str, dict[str, list[int]]] = {}
         for name, cues in cues_of(self.words, share).items():
             for place, word in enumerate(self.words[name]):
                 if word in cues:
-                    self.cues.setdefault(word, []).append((name, place))
+                    self.cues.setdefault(word, {}).setdefault(name, []).append(place)
         self.saved = lru_cache(1 << 16)(self.saved)
         self.aligned = lru_cache(1 << 16)(self.aligned)
 
@@ -134,50 +156,70 @@ class Scanner:
         """(first, end, name, saved, missing, inside) of every notice, in order of place; first and end
         are character positions.
 
-        A stretch of words is tried at every cue, wide enough for all that may stand inside, over
-        line ends. Every template that saves ``least`` and whose wording differs little enough is
-        confirmed; of those that overlap, the one with the fewest differences stays.
+        At every cue the words around it, wide enough for all that may stand inside, over line ends, are
+        compressed with each template that has the cue. Those that save ``least`` are ranked by what they
+        save, and the first whose wording differs little enough is the one for this place. Of places that
+        overlap, the one with the fewest differences stays, then the longer template.
         """
         spots = [(m.start(), m.end()) for m in _WORD.finditer(text)]
         words = [text[a:b].lower() for a, b in spots]
         found = {}
         for i, word in enumerate(words):
-            for name, place in self.cues.get(word, ()):
-                most, size = self.most[name], len(self.words[name])
-                before = tuple(words[max(0, i - place - most) : i][::-1])
-                after = tuple(words[i + 1 : i + size - place + most])
-                if not (fit := self.aligned(name, place, before, after)):
-                    continue
-                n, left, right, missing, inside = fit
-                at = i - left, i + right + 1
-                if (name, *at) in found and found[name, *at][0] <= n:
-                    continue
-                first, end = spots[at[0]][0], spots[at[1] - 1][1]
-                saved = self.saved(name, " ".join(text[first:end].lower().split()))
-                if saved >= least:
-                    found[name, *at] = n, -saved, name, at, missing, inside
+            if word not in self.cues:
+                continue
+            for saved, name in self.ranked(words, i, least):
+                fits = []
+                for place in self.cues[word][name]:
+                    before, after = self.around(words, i, name, place)
+                    if fit := self.aligned(name, place, before, after):
+                        fits.append(fit)
+                if fits:
+                    n, left, right, missing, inside = min(fits, key=lambda f: f[0])
+                    at = i - left, i + right + 1
+                    if (name, *at) not in found or (n, -saved) < found[name, *at][:2]:
+                        found[name, *at] = n, -saved, name, at, missing, inside
+                    break
         taken, out = bytearray(len(words)), []
-        for _, saved, name, (a, b), missing, inside in sorted(found.values()):
+        order = sorted(found.values(), key=lambda f: (f[0], -len(self.words[f[2]]), f[1], f[2], f[3]))
+        for _, saved, name, (a, b), missing, inside in order:
             if not any(taken[a:b]):
                 taken[a:b] = b"\1" * (b - a)
                 out.append((spots[a][0], spots[b - 1][1], name, -saved, missing, inside))
         return sorted(out, key=lambda x: x[:2])
 
+    def around(self, words: list[str], i: int, name: str, place: int) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """Words before the cue, the nearest first, and after it, that a notice can reach."""
+        most, size = self.most[name], len(self.words[name])
+        return tuple(words[max(0, i - place - most) : i][::-1]), tuple(words[i + 1 : i + size - place + most])
+
+    def ranked(self, words: list[str], i: int, least: float) -> list[tuple[float, str]]:
+        """What each template with this cue saves of the words around it, the most first; of one with the
+        cue in several places, its best."""
+        out = []
+        for name, places in self.cues[words[i]].items():
+            most, size = self.most[name], len(self.words[name])
+            blocks = {
+                " ".join(words[max(0, i - place - most) : i + size - place + most]) for place in places
+            }
+            saved = max(self.saved(name, block) for block in blocks)
+            if saved >= least:
+                out.append((saved, name))
+        return sorted(out, key=lambda x: (-x[0], x[1]))
+
 
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.1, share: float = 0.2,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """One row per license notice: id, line_no (from 0) of its first line, license, reduction (bytes
-    saved of the compressed notice, as a share of the template's own compressed size), exact,
+    saved of the compressed words around its cue, as a share of the template's own compressed size), exact,
     missing and inside (differing words), line (all lines it stands on).
 
     A notice is a stretch of words, wherever lines end, that differs from a template in at most
     ``share`` of the template's words. Every stretch of the whole text is tried that holds one of
     the words of which a notice can't lack all. A null or empty text has none;
     a repeated row gives its rows again; a null id stays null; no rows of an empty table. Of notices that
-    overlap the one with the fewest differences stays, then that with the larger saving, then by
-    name. Rows don't need one another: there is no shuffle.
+    overlap the one with the fewest differences stays, then that of the longer template. Rows don't need one another: there is no shuffle.
     """
     templates = dict(templates or TEMPLATES)
     cues = sorted(Scanner(templates, share).cues)

@@ -258,3 +258,42 @@ def test_extract(spark):
     got = [(r.page_id, r.url, r.n_chars, len(r.text)) for r in html_extract.extract_text(rows).collect()]
     assert got[0][2] == got[0][3] > 100 and got[1:] == [(1, None, 0, 0), (None, "u", 0, 0)]
     assert html_extract.extract_text(rows.limit(0)).count() == 0
+
+
+def test_the_saving_ranks_templates():
+    """Two templates both within the wording limit where they share a cue: the larger saving is confirmed first."""
+    templates = {
+        "a red": "the owner of these words lets anyone print them in red ink only",
+        "b blue": "the owner of these words lets anyone print them in blue ink only",
+    }
+    scanner = licenses.Scanner(templates, 0.2)
+    for name, text in templates.items():
+        words = licenses.wording(f"so it says {text} and no more")
+        both = [i for i, w in enumerate(words) if len(scanner.cues.get(w, ())) == 2]
+        for i in both:
+            fits = [
+                scanner.aligned(n, p, *scanner.around(words, i, n, p)) for n, places in scanner.cues[words[i]].items() for p in places
+            ]
+            assert all(f and f[0] <= 2 for f in fits)
+            ranked = scanner.ranked(words, i, 0.1)
+            assert [n for _, n in ranked] == sorted(templates, key=lambda n: n != name) and ranked[0][0] > ranked[1][0]
+        assert both and [n[2] for n in scanner.notices(" ".join(words), 0.1)] == [name]
+    # Without what is saved, the first by name would have been taken where only the shared cue is left.
+    scanner.cues = {w: names for w, names in scanner.cues.items() if len(names) == 2}
+    text = templates["b blue"]
+    assert [n[2] for n in scanner.notices(text, 0.1)] == ["b blue"]
+    scanner.saved = lambda name, block: 1.0
+    assert [n[2] for n in scanner.notices(text, 0.1)] == ["a red"]
+    scanner.saved = lambda name, block: 0.05
+    assert scanner.notices(text, 0.1) == []
+
+
+def test_whole_notices(docs, prose):
+    for name, text in licenses.TEMPLATES.items():
+        words = f"{' '.join(prose(40, 1))}\n{text}\n{' '.join(prose(40, 2))}"
+        assert [(n[2], n[4], n[5]) for n in licenses.Scanner(licenses.TEMPLATES, 0.2).notices(words, 0.1)] == [(name, [], [])]
+    changed = licenses.TEMPLATES["MIT (text)"].replace("sublicense,", "").replace("Software", "Work", 3)
+    found = licenses.Scanner({"MIT (text)": licenses.TEMPLATES["MIT (text)"]}, 0.2).notices(changed, 0.1)
+    assert [(n[2], sorted(n[4]), n[5]) for n in found] == [("MIT (text)", ["software"] * 3 + ["sublicense"], ["work"] * 3)]
+    # The opening sentence as it is differs less.
+    assert licenses.Scanner(licenses.TEMPLATES, 0.2).notices(changed, 0.1)[0][2] == "MIT (notice)"
