@@ -4,9 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from termtide.checks import adapters, queries
-from termtide.operators import terms
+from termtide.operators import merge, terms
+from termtide.operators.usage import usage_by_month
 from termtide.session import new_folder, parts_for
+from termtide.sources.runs import LOOSE_BUCKETS
 from termtide.sources.tables import ViewStore
+from termtide.streaming.counters import CounterLog, batch_parts, count_terms
 
 
 @pytest.mark.parametrize("sizes", [[2], [5], [2, 5], [3, 4], [2, 3, 4, 5], [1, 2]])
@@ -52,3 +55,25 @@ def test_parts_follow_the_files(spark, small):
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert parts_for(documents) == least and parts_for(spark.range(10)) == least
     assert parts_for(documents, 4096) >= 64 and parts_for(documents, 4096).bit_count() == 1
+
+
+def test_counters_are_shuffled_once(spark, small):
+    """N-grams by their first words, not as counts again; a full merge of two that are dealt out alike has no shuffle."""
+    posts = adapters.posts(spark, small)
+    counted = count_terms(posts)
+    assert not [e for e in exchanges(counted) if "ngram#" in e or "term#" in e]
+    log = CounterLog(new_folder(spark, "counters"))
+    log.add(posts, 0)
+    batch = usage_by_month(terms.ngram_rows(posts, dealt=True), "ngram")
+    speed = log.read(spark, "ngram", parts=parts_for(posts))
+    assert terms.LEAD not in log.read(spark, "ngram").columns
+    merged = merge.merge_views(batch, speed, "ngram", "full")
+    assert len([e for e in exchanges(merged) if terms.LEAD in e or "ngram#" in e]) == 2  # one a side
+    assert merged.agg(F.sum("count")).first()[0] == 2 * terms.ngram_rows(posts).count()
+
+
+def test_batches_are_dealt_by_their_bytes(spark):
+    """A large batch isn't left to as many tasks as there are buckets."""
+    value = F.repeat(F.lit("x"), 1 << 20).alias("value")
+    assert batch_parts(spark.range(3).select(value)) == LOOSE_BUCKETS
+    assert batch_parts(spark.range(100).select(value)) == 32 and batch_parts(spark.range(0).select(value)) == LOOSE_BUCKETS
