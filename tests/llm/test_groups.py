@@ -406,6 +406,29 @@ def test_neighbours_share_a_shard(docs, prose):
     assert len(shards) > 15 and sum(map(len, by_sequence.values())) <= 2.2 * len(by_sequence)
 
 
+def test_dealing_counts_all_documents(docs, monkeypatch):
+    """Every word of two documents is listed, and shards are cut by the bytes of all, beyond any sample."""
+    rows = [(i, f"w{i // 2} {'a' * (i % 50)} the" if i else None) for i in range(24_001)]
+    texts = docs(*rows).selectExpr("doc_id as doc", "text")
+    n, shards = len(rows), 12
+    held = Counter(w for _, t in rows for w in set((t or "").split()))
+    listed = [w for w in held if 1 < held[w] < n / 2]
+    word, *ranks = packing.listed_words(texts, n, shards)
+    hashes = packing.words_of(packing.texts_of(katz.pa.array([" ".join(listed)]))).hash
+    assert sorted(hashes.tolist()) == word.tolist() and len(word) > 12_000
+    assert [sorted(r.tolist()) for r in ranks] == [list(range(len(word)))] * 2
+    size = dict((i, len(t or "")) for i, t in rows)
+    bytes_of = Counter()
+    for r in packing.dealt(texts, n, shards).select("doc", "shard").collect():
+        bytes_of[r.shard] += size[r.doc]
+    share = sum(size.values()) / shards
+    assert len(bytes_of) == shards and all(abs(b - share) <= 2 * max(size.values()) for b in bytes_of.values())
+    # With fewer places, the words that come first among all.
+    monkeypatch.setattr(packing, "WORD_BITS", 8)
+    few = packing.listed_words(texts, n, shards)[0]
+    assert few.tolist() == np.sort(word[np.argsort(ranks[0])[: 1 << 8]]).tolist()
+
+
 def test_a_hot_text_fills_no_shard(docs, prose):
     same = " ".join(prose(50, 1))
     rows = [(i, same if i % 3 else " ".join(prose(50, i))) for i in range(600)]
