@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -406,6 +407,18 @@ def test_neighbours_share_a_shard(docs, prose):
     assert len(shards) > 15 and sum(map(len, by_sequence.values())) <= 2.2 * len(by_sequence)
 
 
+def test_ids_take_little_memory(prose):
+    """Words of a shard are looked at a stretch at a time."""
+    texts = katz.pa.array([" ".join(prose(400, i)) for i in range(2000)])
+    tracemalloc.start()
+    try:
+        packing.token_ids(texts, packing.default_tokenizer())
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 16 * texts.nbytes
+
+
 def test_dealing_counts_all_documents(docs, monkeypatch):
     """Every word of two documents is listed, and shards are cut by the bytes of all, beyond any sample."""
     rows = [(i, f"w{i // 2} {'a' * (i % 50)} the" if i else None) for i in range(24_001)]
