@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from termtide.checks import adapters
 from termtide.operators import leaders, signed, terms, usage
 from termtide.plans.incremental import KEYS, Totals, bucket_count, follow
-from termtide.session import names_in, new_folder
+from termtide.session import joined_as_laid_out, names_in, new_folder
 
 
 @pytest.fixture
@@ -153,5 +153,51 @@ def test_the_base_is_not_shuffled(spark, small, totals, kind):
     assert "Partial" in text.split("Exchange")[-1]
 
 
+def shuffled(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+
+
+def test_ngram_totals_are_shuffled_as_windows_only(spark, small, totals):
+    """Each state has one shuffle, of windows; ranks, and what is written, have none."""
+    posts = adapters.posts(spark, small)
+    totals.build(posts.where("tweet_client_name < 'src5'"))
+    rows = totals._uses(signed.added(posts.where("tweet_client_name >= 'src5'")), new_folder(spark, "words"))["ngram"]
+    tables = totals.tables(spark)
+    for state, of in (("months", signed.by_month), ("accounts", signed.by_account)):
+        with joined_as_laid_out(spark):
+            found = shuffled(signed.merged(tables[f"ngram_{state}"].scan(spark), of(rows, "ngram"), KEYS[state]))
+        assert len(found) == 1 and terms.LEAD in found[0] and "term" not in found[0]
+    accounts, leading = tables["ngram_accounts"].scan(spark), tables["ngram_leaders"].scan(spark)
+    few = spark.createDataFrame([("a b",)], "term string")
+    for touched in (None, few):
+        assert not shuffled(totals._reranked(leading, accounts, touched))
+
+
+def test_totals_written_by_their_keys_are_kept_up(spark, post, totals):
+    """As n-gram totals of before were: without the first words, bucketed by term and month or account."""
+    posts = post({"hashtags": ["fox"]}, {"userid": "u2", "tweet_text": "red fox runs far"})
+    totals.build(posts)
+    old = {}
+    for name, table in totals.tables(spark).items():
+        kind, state = name.split("_")
+        old[name] = totals._write(table.scan(spark).drop(terms.LEAD), kind, state, table.buckets, False)
+    totals._show(spark, old)
+    same(totals, spark, posts)
+    more = post({"tweet_text": "red fox runs"}, {"userid": "u3"})
+    totals.apply(signed.added(more))
+    same(totals, spark, posts.unionByName(more))
+
+
+def test_many_changed_words_are_not_gathered(spark, post, totals, monkeypatch):
+    from termtide.plans import incremental
+
+    posts = post({"tweetid": "1"}, {"tweetid": "2", "userid": "u2"})
+    totals.build(posts)
+    monkeypatch.setattr(incremental, "FEW_BYTES", 0)
+    totals.apply(posts.where("tweetid = '1'").withColumn("sign", F.lit(-1)))
+    same(totals, spark, posts.where("tweetid = '2'"))
+
+
 def test_buckets_follow_the_size():
     assert [bucket_count(s, 8) for s in (0, 1 << 20, 64 << 20, 100 << 30)] == [1, 1, 8, 800]
