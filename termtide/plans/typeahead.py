@@ -39,9 +39,13 @@ class TermIndex:
         spark, folder = counts.sparkSession, new_folder(counts.sparkSession, "terms")
         try:
             staged = write_table(counts.select(F.col(term).alias("term"), "count"), folder)
-            blocks = self.blocks or max(1, min(MOST_BLOCKS, -(-folder_bytes(spark, folder) // BLOCK_BYTES)))
+            size = folder_bytes(spark, folder)
+            blocks = self.blocks or max(1, min(MOST_BLOCKS, -(-size // BLOCK_BYTES)))
+            # A large block is written by several tasks, each a range of it.
+            tasks = max(1, -(-size // BLOCK_BYTES) // blocks)
             (
-                staged.repartitionByRange(blocks, "term").withColumn("block", F.spark_partition_id())
+                staged.repartitionByRange(blocks * tasks, "term")
+                .withColumn("block", F.floor(F.spark_partition_id() / tasks).cast("int"))
                 .sortWithinPartitions("term").write.partitionBy("block").parquet(f"{self.root}/terms")
             )
         finally:
@@ -79,7 +83,8 @@ class TermIndex:
         """prefix, place, term, count for a table of prefixes, each asked once; null prefixes and those
         without a term give no rows.
 
-        A prefix is sent to the blocks of its range; each partition keeps its best ``n`` of a prefix
+        A prefix is sent to the blocks of its range, where terms find it by their own first letters, cut at each
+        length that a prefix has; each partition keeps its best ``n`` of a prefix
         before the shuffle, so one with very many terms is no more work for the last task than others.
         """
         spark = prefixes.sparkSession
@@ -93,8 +98,11 @@ class TermIndex:
         opened = [r["block"] for r in sent.select("block").distinct().collect()]
         if not opened:
             return spark.createDataFrame([], "prefix string, place int, term string, count bigint")
-        found = self._scan(spark, *opened).join(sent.hint(join_hint(sent)), "block")
-        found = found.where(F.col("term").startswith(F.col("prefix")))
+        lengths = [r["n"] for r in asked.select(F.char_length("prefix").alias("n")).distinct().collect()]
+        # A term shorter than some prefixes is cut to itself by each.
+        cut = F.array_distinct(F.array(*[F.left("term", F.lit(n)) for n in sorted(lengths)]))
+        begun = self._scan(spark, *opened).select("block", "term", "count", F.explode(cut).alias("prefix"))
+        found = begun.join(sent.hint(join_hint(sent)), ["block", "prefix"])
         order = Window.partitionBy("prefix").orderBy(F.desc("count"), "term")
         ranked = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
         return ranked.select("prefix", "place", "term", "count")
