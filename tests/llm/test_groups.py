@@ -337,6 +337,29 @@ def test_ids_are_the_tokenizers(documents, monkeypatch):
     assert packing.token_ids(katz.pa.array([], katz.pa.string()), packing.default_tokenizer()) == ([], [])
 
 
+def test_words_with_marks_go_to_the_model(monkeypatch):
+    """Words of Latin letters, digits and marks; the whole tokenizer is asked for the others."""
+    letters = [chr(c) for c in range(0x21, 0x250)]
+    simple = ["atiea###", "Esdo***", "Ch\u00fctzen", "\u00c9t\u00e9,", "a-b_c", "555-6757", "x1y22", "ALS(\u00d1o)", "~`{}", "s.t.", "\u017fa\u0178\u0149"]
+    odd = ["don't", "a|b", "a\u00a0b", "\u4e2d!", "e\u0301#", "\u00aa\u00b2", "x\u00d7y", "\u0130a"]
+    name = packing.default_tokenizer()
+    monkeypatch.setitem(packing._known, name, vocabulary := packing.Vocabulary(name))
+    tool, asked = vocabulary.tool, []
+
+    class Counted:
+        model = tool.model
+
+        def encode_batch_fast(self, words, **options):
+            asked.extend(words)
+            return tool.encode_batch_fast(words, **options)
+
+    vocabulary.tool = Counted()
+    words = letters + [f"a{x}b{x}" for x in letters] + simple + odd
+    ids, _ = packing.token_ids(katz.pa.array(words), name)
+    assert [x.tolist() for x in ids] == [tool.encode(w, add_special_tokens=False).ids + [1] for w in words]
+    assert set(odd) <= set(asked) and not set(simple) & set(asked)
+
+
 def plain_bm25(bags, query, k1=1.2, b=0.75):
     n, mean = len(bags), sum(map(len, bags)) / len(bags)
     held = Counter(w for bag in bags for w in set(bag))
@@ -419,6 +442,26 @@ def test_ids_take_little_memory(prose):
     assert most < 16 * texts.nbytes
 
 
+def test_packing_a_shard_takes_little_memory():
+    """What is held of each word, of each one that the worker hasn't seen, and of the index."""
+    pick = random.Random(3)
+    known = ["".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(20_000)]
+    texts = katz.pa.array([" ".join(pick.choices(known, k=400)) for _ in range(1000)])
+    packing._known.clear()
+    most = []
+    tracemalloc.start()
+    try:
+        ids, bags = packing.token_ids(texts, packing.default_tokenizer())
+        most.append(tracemalloc.get_traced_memory()[1])
+        before = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        packing.Index(bags)
+        most.append(tracemalloc.get_traced_memory()[1] - before)
+    finally:
+        tracemalloc.stop()
+    assert most[0] < 9.5 * texts.nbytes and most[1] < 11.2 * texts.nbytes
+
+
 def test_dealing_counts_all_documents(docs, monkeypatch):
     """Every word of two documents is listed, and shards are cut by the bytes of all, beyond any sample."""
     rows = [(i, f"w{i // 2} {'a' * (i % 50)} the" if i else None) for i in range(24_001)]
